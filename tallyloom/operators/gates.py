@@ -359,7 +359,7 @@ def implicates_gate(df: DataFrame, family: str, implicate: str, m: int) -> DataF
     """Implicates are exactly 1..m, and each family has each of them once."""
     per = df.groupBy(family).agg(
         F.count(F.lit(1)).alias("__n"),
-        F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.col(implicate).cast("int"))).alias("__bits"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(implicate).cast("int"))).alias("__bits"),
         F.min(implicate).alias("__lo"),
         F.max(implicate).alias("__hi"),
     )
@@ -406,7 +406,7 @@ def codebook_gate(
     variable = F.trim(F.col(name))
     found = [F.coalesce(F.max(F.when(variable == F.lit(r), F.lit(1))), F.lit(0)) for r in required]
     gates = [
-        Gate("codebook_required", reduce(lambda a, b: a + b, found), "equal", len(required)),
+        Gate("codebook_required", reduce(lambda a, b: a + b, found, F.lit(0)), "equal", len(required)),
     ]
     if option is not None:
         gates.append(Gate("codebook_option", F.count_if(F.col(option[0]).cast("string") == F.lit(option[1])), "above", 0))

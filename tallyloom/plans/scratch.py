@@ -46,7 +46,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan's output."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, factor: int = 1, limit: int = SMALL_BYTES) -> bool:
