@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ColumnLike, col, ratio
+from .joins import with_one_row
 
 KEEP, DROP = "keep_weight", "drop"
 
@@ -139,7 +140,7 @@ def two_series_gap(df: DataFrame, category: str, series: str, a: str, b: str, v:
     )
     gap = wide.withColumn("gap", F.abs(F.col("a_value") - F.col("b_value")))
     widest = gap.agg(F.max_by(category, F.struct("gap", category)).alias("__widest"))
-    flagged = gap.crossJoin(widest)
+    flagged = with_one_row(gap, widest)
     return flagged.withColumn("widest", F.col(category).eqNullSafe(F.col("__widest"))).drop("__widest")
 
 

@@ -65,7 +65,8 @@ def measure_self_join(
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent."""
-    side = parent.select(F.col(parent_key or child_key).alias("__parent"))
+    # Distinct first: a key held by very many parents reaches the join as one row.
+    side = parent.select(F.col(parent_key or child_key).alias("__parent")).distinct()
     return child.join(side, F.col(child_key) == F.col("__parent"), "left_anti")
 
 
@@ -85,29 +86,51 @@ def key_set_match(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> Data
 def value_match_join(
     a: DataFrame, b: DataFrame, keys: str | Sequence[str], x: str, y: str, tolerance: float = 0.0
 ) -> DataFrame:
-    """One row: matched keys, pairs outside the tolerance, largest difference and both sums."""
+    """One row: matched keys, keys outside the tolerance, largest difference and both sums.
+
+    Each side is reduced to one row per key with its extremes, so a repeated key is compared in
+    full without forming its pairs.
+    """
     keys = _keys(keys)
-    joined = a.select(*keys, F.col(x).alias("__x")).join(b.select(*keys, F.col(y).alias("__y")), keys)
-    gap = F.abs(F.col("__x") - F.col("__y"))
-    off = F.coalesce(gap > F.lit(tolerance), F.lit(True))
+
+    def side(df: DataFrame, c: str, tag: str) -> DataFrame:
+        return df.groupBy(*keys).agg(
+            F.min(c).alias(f"__{tag}lo"),
+            F.max(c).alias(f"__{tag}hi"),
+            F.sum(c).alias(f"__{tag}sum"),
+            F.count_if(F.col(c).isNull()).alias(f"__{tag}null"),
+        )
+
+    joined = side(a, x, "x").join(side(b, y, "y"), keys)
+    gap = F.greatest(F.abs(F.col("__xhi") - F.col("__ylo")), F.abs(F.col("__yhi") - F.col("__xlo")))
+    absent = (F.col("__xnull") > 0) | (F.col("__ynull") > 0)
+    off = F.coalesce(gap > F.lit(tolerance), F.lit(True)) | absent
     return joined.agg(
         F.count(F.lit(1)).alias("matched"),
         F.count_if(off).alias("mismatched"),
         F.max(gap).alias("largest_gap"),
-        F.sum("__x").alias("sum_x"),
-        F.sum("__y").alias("sum_y"),
+        F.sum("__xsum").alias("sum_x"),
+        F.sum("__ysum").alias("sum_y"),
     )
 
 
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row as a scalar subquery: it is computed once
+    and enters the plan as a value, so nothing is joined. A second row fails the query."""
+    value = one_row.select(F.struct(*one_row.columns).alias("__one")).scalar()
+    return df.withColumn("__one", value).select(*df.columns, *[F.col(f"__one.{c}") for c in one_row.columns])
+
+
 def cross_source_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row aggregates side by side. Callers pass ungrouped aggregates only."""
-    return a.crossJoin(b)
+    """Two one-row aggregates side by side."""
+    return with_one_row(a, b)
 
 
 def missing_years(available: DataFrame, promoted: DataFrame, done: DataFrame, keys: Sequence[str] = ("survey", "year")) -> DataFrame:
     """Available releases that are neither promoted nor already worked off."""
     keys = list(keys)
-    return available.join(promoted, keys, "left_anti").join(done, keys, "left_anti")
+    worked = promoted.select(*keys).unionByName(done.select(*keys)).distinct()
+    return available.join(worked, keys, "left_anti")
 
 
 def pointer_mismatches(
@@ -141,7 +164,11 @@ def attach_region(df: DataFrame, regions: DataFrame, key: str, form: str = "name
     else:
         norm = lambda c: F.lower(F.trim(F.col(c)))
     data = df.withColumn("__key", norm(key)).drop(key)
-    return regions.join(data, norm(form) == F.col("__key"), "left").drop("__key")
+    matched = regions.join(data, norm(form) == F.col("__key"), "inner").drop("__key")
+    # Regions without data are found on distinct keys. One left join from the region side would
+    # hold all rows of a frequent region in one task.
+    absent = regions.join(data.select("__key").distinct(), norm(form) == F.col("__key"), "left_anti")
+    return matched.unionByName(absent, allowMissingColumns=True)
 
 
 def same_on(a: str, b: str, columns: Sequence[str]) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ColumnLike, col
 from ..functions.text import collapse_whitespace, content_sha256, decode_entities
+from .joins import with_one_row
 
 ANCHOR = r"""(?is)<a\s[^>]*?href=["'][^"']+["'][^>]*>.*?</a>"""
 HREF = r"""(?is)^<a\s[^>]*?href=["']([^"']+)["']"""
@@ -95,7 +96,7 @@ def complete_releases(classified: DataFrame, required: Sequence[str], keys: Sequ
     own = have.filter(F.col("year").isNotNull()).groupBy(*keys).agg(
         *[F.coalesce(F.max(F.when(F.col("role") == F.lit(r), F.lit(1))), F.lit(0)).alias(f"__o{i}") for i, r in enumerate(required)]
     )
-    both = own.crossJoin(shared)
+    both = with_one_row(own, shared)
     n = sum((F.greatest(f"__s{i}", f"__o{i}") for i in range(len(required))), F.lit(0))
     return both.withColumn("__n", n).filter(F.col("__n") == len(required)).select(*keys)
 

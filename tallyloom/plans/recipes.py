@@ -13,7 +13,7 @@ from ..functions.recode import band, calendar_factor, label_rank, premium_adjust
 from ..functions.text import normalize_code
 from ..operators import estimators as E
 from ..operators.gates import FAIL, PASS, SKIP, Gate, gate_rows
-from ..operators.joins import attach_totals, measure_self_join
+from ..operators.joins import attach_totals, cross_source_pair, measure_self_join, with_one_row
 from ..operators.ordering import median_unweighted, quantile_groups_midpoint, quantile_groups_right_edge
 from ..operators.replicate_groups import replicate_quantile_group_means
 from ..operators.series import (
@@ -27,7 +27,6 @@ from ..operators.series import (
 )
 from ..operators.uncertainty import (
     Replicates,
-    W,
     Z90,
     Z95,
     binomial_se,
@@ -76,11 +75,11 @@ def cost_burden(
     )
     table = design.estimate(
         valid,
-        E.weighted_mean("severe", W),
+        lambda w: E.weighted_mean("severe", w),
         ["poverty_band", "group"],
         ["severe"],
-        unweighted_households=F.count(F.lit(1)),
-        weighted_households=F.sum(W),
+        unweighted_households=lambda w: F.count(F.lit(1)),
+        weighted_households=F.sum,
     )
     out = with_ci(table, Z95, 0.0, 1.0).withColumn("published", F.col("group").isin(*published))
     return out.orderBy(label_rank("poverty_band", bands), "group")
@@ -91,7 +90,7 @@ def total_benchmark(
     divisor: float = 1000.0, z: float = Z90,
 ) -> DataFrame:
     """Gate rows for a universe total and its margin of error."""
-    total = design.estimate(df.filter(universe), F.sum(W) / F.lit(divisor), [], [])
+    total = design.estimate(df.filter(universe), lambda w: F.sum(w) / F.lit(divisor), [], [])
     return gate_rows(
         total,
         [
@@ -116,11 +115,11 @@ def spending_by_quantile(
     grouped = quantile_groups_right_edge(families, income, design.full, tie, cuts, out="group_no", strategy=strategy)
     table = design.estimate(
         grouped,
-        E.weighted_mean(spending, W),
+        lambda w: E.weighted_mean(spending, w),
         ["group_no"],
         [spending, income],
-        mean_income=E.weighted_mean(income, W),
-        unweighted_n=F.count(F.lit(1)),
+        mean_income=lambda w: E.weighted_mean(income, w),
+        unweighted_n=lambda w: F.count(F.lit(1)),
     )
     names = {i + 1: label for i, label in enumerate(labels)}
     return with_ci(table).withColumn("quantile_group", recode("group_no", names)).orderBy("group_no")
@@ -218,11 +217,11 @@ def calendar_year_mean(
     ready = with_cost.withColumn("__factor", calendar_factor(month, year, reference_year))
     return design.estimate(
         ready,
-        E.ratio_mean_with_denominator("__cost", W, "__factor"),
+        lambda w: E.ratio_mean_with_denominator("__cost", w, "__factor"),
         [],
         ["__cost", "__factor"],
-        population_thousands=E.calendar_population(W, "__factor") / F.lit(1000.0),
-        reporters=E.reporters("__cost"),
+        population_thousands=lambda w: E.calendar_population(w, "__factor") / F.lit(1000.0),
+        reporters=lambda w: E.reporters("__cost"),
     )
 
 
@@ -294,7 +293,7 @@ def level_versus_peers(
     """Levels by country beside the unweighted mean of a peer set."""
     levels = filter_codes(df, filters).withColumn("country", recode(area, names)).select("country", F.col(v).alias("level"))
     peer = E.reference_group(levels, "country", peers, "level")
-    return levels.crossJoin(peer).orderBy(F.col("level").desc(), "country")
+    return with_one_row(levels, peer).orderBy(F.col("level").desc(), "country")
 
 
 def wage_grid(
@@ -395,7 +394,7 @@ def population_agreement(
     wa, wb = first_present(a, weights_a), first_present(b, weights_b)
     if wa is None or wb is None:
         return _skipped(a, check, "weight column absent")
-    pair = a.agg(F.sum(to_number(wa)).alias("value_a")).crossJoin(b.agg(F.sum(to_number(wb)).alias("value_b")))
+    pair = cross_source_pair(a.agg(F.sum(to_number(wa)).alias("value_a")), b.agg(F.sum(to_number(wb)).alias("value_b")))
     return _agreement(pair, check, relative_difference("value_a", "value_b"), tolerance)
 
 
@@ -415,7 +414,7 @@ def share_agreement(
         weight = F.coalesce(to_number(w), F.lit(0.0))
         return df.agg(E.weighted_share(hit, weight).alias(out))
 
-    pair = share(a, found[0], found[1], "value_a").crossJoin(share(b, found[2], found[3], "value_b"))
+    pair = cross_source_pair(share(a, found[0], found[1], "value_a"), share(b, found[2], found[3], "value_b"))
     gap = F.abs(F.col("value_a") - F.col("value_b")) * F.lit(100.0)
     return _agreement(pair, check, gap, tolerance_points)
 
@@ -427,5 +426,5 @@ def macro_agreement(
     """The newest value of one source beside another's after unit and currency conversion."""
     newest = filter_codes(a, filters_a).agg(F.max_by(v_a, period_a).alias("value_a"))
     other = filter_codes(b, filters_b).agg((F.max(v_b) * F.lit(unit) * F.lit(rate)).alias("value_b"))
-    pair = newest.crossJoin(other)
+    pair = cross_source_pair(newest, other)
     return _agreement(pair, check, relative_difference("value_a", "value_b"), 0.0, informational=True)

@@ -45,15 +45,41 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan's output."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size estimate of a plan's output.
+
+    Catalyst multiplies the sizes of join sides when it has no statistics, so the estimate is
+    held below the sum of the tables read. Both only steer how work is cut, never its result.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(int(str(plan.stats().sizeInBytes())), read)
 
 
 def is_small(df: DataFrame, factor: int = 1, limit: int = SMALL_BYTES) -> bool:
     return plan_bytes(df) * factor <= limit
 
 
+MAX_RANGES = 32768
+
+
 def range_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024) -> int:
-    """How many ranges to cut a frame into so that one range fits a task."""
+    """How many ranges to cut a frame into so that one range fits a task.
+
+    Past ``MAX_RANGES`` ranges grow instead; a larger range sorts with spilling.
+    """
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, -(-plan_bytes(df) // target_bytes))
+    return max(floor, min(MAX_RANGES, -(-plan_bytes(df) // target_bytes)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows over all cores before work that multiplies them.
+
+    Applies only to inputs too small to be split over the cores on their own; for larger ones
+    this is the frame itself and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    if plan_bytes(df) < cores * split // 2:
+        return df.repartition(cores)
+    return df

@@ -37,13 +37,12 @@ def write_result_csv(df: DataFrame, path: str, order: Sequence[str | Column], di
 
 def diagnostics(analysis: str, sections: Mapping[str, DataFrame]) -> DataFrame:
     """One record per analysis. Each section is a one-row frame and becomes one struct."""
-    out: DataFrame | None = None
-    for name, frame in sections.items():
-        section = frame.select(F.struct(*frame.columns).alias(name))
-        out = section if out is None else out.crossJoin(section)
-    if out is None:
+    if not sections:
         raise ValueError("at least one section is needed")
-    return out.select(F.lit(analysis).alias("analysis"), *out.columns)
+    structs = {name: frame.select(F.struct(*frame.columns).alias(name)) for name, frame in sections.items()}
+    first, *rest = structs
+    values = [structs[name].scalar().alias(name) for name in rest]
+    return structs[first].select(F.lit(analysis).alias("analysis"), first, *values)
 
 
 def write_diagnostics(record: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.recode import implicate_of
 from ..operators import estimators as E
 from ..operators import gates as G
+from ..operators.joins import with_one_row
 from .registry import cents, query, table
 
 
@@ -408,4 +409,4 @@ def provenance_and_redistribution(spark, sf):
     recorded = docs.select(F.when(F.col("doc_id") % 13 != 0, F.col("source")).alias("source"))
     missing = G.run_gates(recorded, G.provenance_recorded(["source"])).select(F.col("observed").cast("bigint").alias("without_source"))
     open_docs = G.redistributable(docs, ledger, ["source"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return open_docs.crossJoin(missing)
+    return with_one_row(open_docs, missing)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import gates as G
 from ..operators import ledger as L
 from ..operators.ledger import Ledger
+from ..operators.joins import with_one_row
 from ..plans.scratch import new_scratch_path
 from ..streaming.ingest import ingest_releases, release_stream
 from .contracts import shown
@@ -133,7 +134,7 @@ def pinned_release(spark, sf):
     pinned = ledger.current().filter("survey = 'src2'").first()
     gate = L.require_release(ledger.releases(), "src2", pinned["release_id"], pinned["digest"]).select("status")
     rows = ledger.read("src2").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
-    return rows.crossJoin(gate)
+    return with_one_row(rows, gate)
 
 
 @query(
@@ -174,7 +175,7 @@ def scrubbed_ledger(spark, sf):
 def scrubbed_storage(spark, sf):
     """A ledger that nothing has touched scrubs clean."""
     errors = _two_loads(spark, sf).scrub().agg(F.count(F.lit(1)).alias("errors"))
-    return table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(errors)
+    return with_one_row(table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n_rows")), errors)
 
 
 @query(

@@ -43,7 +43,7 @@ def share_sql(by: str, weight: str, scale: str, center: str = "f.est", count: in
 
 def _share(spark, sf, method: str, **kw):
     table_ = design(method, **kw).estimate(
-        high_discount(spark, sf), E.weighted_mean("hit", W), ["l_returnflag"], ["hit"]
+        high_discount(spark, sf), lambda w: E.weighted_mean("hit", w), ["l_returnflag"], ["hit"]
     )
     return rounded(table_, 9, "estimate", "standard_error")
 
