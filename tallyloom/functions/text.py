@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,12 @@ ENTITIES = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once. A long text expression that is named twice
+    would otherwise run twice, and again at every level that names its result twice."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalize_code(c: ColumnLike) -> Column:
     """Strip blanks and literal quote marks; spellings of "missing" become null."""
     bare = F.trim(F.btrim(F.trim(col(c).cast("string")), F.lit("'")))
@@ -51,7 +59,10 @@ def slug(c: ColumnLike) -> Column:
 
 def decode_entities(c: ColumnLike) -> Column:
     """Decode numeric character references and the common named entities."""
-    text = col(c)
+    return let(col(c), _decode)
+
+
+def _decode(text: Column) -> Column:
     numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7});"), 1))
     decoded = F.aggregate(
         numbers,

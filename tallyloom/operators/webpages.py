@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ColumnLike, col
-from ..functions.text import collapse_whitespace, content_sha256, decode_entities
+from ..functions.text import collapse_whitespace, content_sha256, decode_entities, let
 from .joins import with_one_row
 
 ANCHOR = r"""(?is)<a\s[^>]*?href=["'][^"']+["'][^>]*>.*?</a>"""
@@ -30,7 +30,10 @@ def strip_tags(c: ColumnLike, by: str = " ") -> Column:
 
 def resolve_url(href: ColumnLike, base: ColumnLike) -> Column:
     """Absolute URL of a link: absolute, scheme-relative, root-relative, fragment or relative."""
-    href, base = col(href), F.regexp_replace(col(base), "#.*$", "")
+    return let(col(href), lambda h: _resolve(h, F.regexp_replace(col(base), "#.*$", "")))
+
+
+def _resolve(href: Column, base: Column) -> Column:
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     path = F.regexp_replace(base, r"\?.*$", "")
@@ -74,13 +77,20 @@ def link_path(link: ColumnLike) -> Column:
 
 def classify_links(links: DataFrame, roles: Sequence[LinkRole], link: str = "link") -> DataFrame:
     """Role and year of each link from its path; the first matching pattern wins."""
-    path = link_path(link)
-    role, year = F.lit(None).cast("string"), F.lit(None).cast("int")
-    for r in reversed(roles):
-        hit = path.rlike(r.pattern)
-        found = F.regexp_extract(path, r.pattern, r.year_group).try_cast("int") if r.year_group else F.lit(None).cast("int")
-        role, year = F.when(hit, F.lit(r.role)).otherwise(role), F.when(hit, found).otherwise(year)
-    return links.withColumns({"role": role, "year": year}).filter(F.col("role").isNotNull())
+    def match(path: Column) -> Column:
+        role, year = F.lit(None).cast("string"), F.lit(None).cast("int")
+        for r in reversed(roles):
+            hit = path.rlike(r.pattern)
+            found = (
+                F.regexp_extract(path, r.pattern, r.year_group).try_cast("int")
+                if r.year_group
+                else F.lit(None).cast("int")
+            )
+            role, year = F.when(hit, F.lit(r.role)).otherwise(role), F.when(hit, found).otherwise(year)
+        return F.struct(role.alias("role"), year.alias("year"))
+
+    matched = links.withColumn("__m", let(link_path(link), match))
+    return matched.select(*links.columns, "__m.role", "__m.year").filter(F.col("role").isNotNull())
 
 
 def complete_releases(classified: DataFrame, required: Sequence[str], keys: Sequence[str] = ("year",)) -> DataFrame:
@@ -124,7 +134,8 @@ def _main_part(text: Column) -> Column:
     parts = [F.regexp_extract(text, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1) for tag in MAIN_ELEMENTS]
     # A page whose closing body tag is missing still has a body.
     open_body = F.regexp_extract(text, r"(?is)<body\b[^>]*>(.*)$", 1)
-    return F.coalesce(*[F.nullif(p, F.lit("")) for p in [*parts, open_body]], text)
+    found = F.filter(F.array(*parts, open_body, text), lambda p: p != F.lit(""))
+    return F.coalesce(F.get(found, F.lit(0)), text)
 
 
 def main_text(html: ColumnLike) -> Column:
@@ -132,7 +143,7 @@ def main_text(html: ColumnLike) -> Column:
     text = F.regexp_replace(col(html), r"(?is)<!--.*?-->", "")
     for tag in DROPPED_ELEMENTS:
         text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    text = decode_entities(strip_tags(_main_part(text), "\n"))
+    text = decode_entities(strip_tags(let(text, _main_part), "\n"))
     text = F.regexp_replace(text, r"[ \t\r\f]*\n[ \t\r\f\n]*", "\n")
     return F.btrim(text, F.lit(" \t\r\f\n"))
 
