@@ -47,11 +47,13 @@ def coerce_numeric(df: DataFrame, columns: Iterable[str], finite: bool = False)
 
 
 def valid_weight(w: ColumnLike, allow_zero: bool = False) -> Column:
-    """True where a weight is present, finite and positive (or non-negative)."""
+    """True where a weight is present, finite and positive (or non-negative); never null.
+
+    A plain conjunction, so that as a filter its parts reach the Parquet scan.
+    """
     w = col(w).cast("double")
     sign = (w >= 0) if allow_zero else (w > 0)
-    ok = w.isNotNull() & ~F.isnan(w) & (w < F.lit(float("inf"))) & sign
-    return F.coalesce(ok, F.lit(False))
+    return w.isNotNull() & sign & (w < F.lit(float("inf"))) & ~F.isnan(w)
 
 
 def ratio(num: ColumnLike, den: ColumnLike, scale: float = 1.0) -> Column:

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from .numeric import ColumnLike, col
 
 # Spellings of "missing" that delimited releases use for a code.
-MISSING_CODES = ("", "nan", "<na>")
+MISSING_CODES = ("nan", "<na>")
+
+# White space and line breaks of Unicode text.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 # Named HTML entities decoded in page text. Ampersand comes last.
 ENTITIES = {
-    "&nbsp;": " ",
+    "&nbsp;": "\xa0",
     "&middot;": "·",
     "&copy;": "©",
     "&reg;": "®",
@@ -44,12 +48,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def normalize_code(c: ColumnLike) -> Column:
     """Strip blanks and literal quote marks; spellings of "missing" become null."""
-    bare = F.trim(F.btrim(F.trim(col(c).cast("string")), F.lit("'")))
+    bare = F.btrim(strip(col(c).cast("string")), F.lit("'"))
     return F.when(~F.lower(bare).isin(*MISSING_CODES), bare)
 
 
 def collapse_whitespace(c: ColumnLike) -> Column:
-    return F.trim(F.regexp_replace(col(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(col(c), f"[{BLANKS}]+", " "))
+
+
+def strip(c: ColumnLike) -> Column:
+    """Remove white space at both ends."""
+    return F.btrim(col(c), F.lit(BLANKS))
+
+
+def trimmed_lines(c: ColumnLike) -> Column:
+    """Lines without surrounding white space, empty ones dropped."""
+    lines = F.transform(F.split(col(c), f"[{LINE_BREAKS}]+"), strip)
+    return F.array_join(F.filter(lines, lambda line: F.length(line) > 0), "\n")
 
 
 def slug(c: ColumnLike) -> Column:

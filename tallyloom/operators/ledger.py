@@ -248,7 +248,10 @@ class Ledger:
         keys = ["survey", "year"]
         data_dir = self._dir("data", load)
         schema_of = {f.name: f.dataType for f in df.schema.fields}
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*keys).parquet(data_dir)
+        # Rows of a release meet in few files; adaptive execution splits a release that is too
+        # large for one task and packs small ones.
+        balanced = df.hint("rebalance", *keys)
+        balanced.write.mode("overwrite").option("compression", "zstd").partitionBy(*keys).parquet(data_dir)
         stored = self.spark.read.parquet(data_dir)
         stored = stored.withColumns({k: F.col(k).cast(schema_of[k]) for k in keys})
 

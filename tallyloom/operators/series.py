@@ -14,13 +14,13 @@ from ..functions.recode import label_rank
 def asof_value(value: str, date: str, tie: str | None = None, cutoff: ColumnLike | None = None) -> Column:
     """Aggregate: the last value at or before ``cutoff`` (or the last of all).
 
-    ``max_by`` keeps one row per group in the buffer and combines before the shuffle.
+    One value per group is held and combined before the shuffle. Without a tie key the buffers
+    are plain numbers, which keeps the aggregation hashed.
     """
-    order = F.struct(date, tie) if tie else F.col(date)
-    held = F.struct(F.col(date).alias("date"), F.col(value).alias("value"))
-    if cutoff is None:
-        return F.max_by(held, order)
-    return F.max_by(held, F.when(F.col(date) <= col(cutoff), order))
+    inside = (lambda c: c) if cutoff is None else (lambda c: F.when(F.col(date) <= col(cutoff), c))
+    order = inside(F.struct(date, tie) if tie else F.col(date))
+    newest = F.max_by(value, order)
+    return F.struct(F.max(inside(F.col(date))).alias("date"), newest.alias("value"))
 
 
 def asof_baseline(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ColumnLike, col
-from ..functions.text import collapse_whitespace, content_sha256, decode_entities, let
+from ..functions.text import collapse_whitespace, content_sha256, decode_entities, let, strip, trimmed_lines
 from .joins import with_one_row
 
 ANCHOR = r"""(?is)<a\s[^>]*?href=["'][^"']+["'][^>]*>.*?</a>"""
@@ -140,25 +140,22 @@ def _main_part(text: Column) -> Column:
 
 def main_text(html: ColumnLike) -> Column:
     """Readable text of a page: one trimmed line per block, empty lines dropped."""
-    text = F.regexp_replace(col(html), r"(?is)<!--.*?-->", "")
+    text = F.regexp_replace(col(html), r"(?is)<!--.*?-->", "\n")
     for tag in DROPPED_ELEMENTS:
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    text = decode_entities(strip_tags(let(text, _main_part), "\n"))
-    text = F.regexp_replace(text, r"[ \t\r\f]*\n[ \t\r\f\n]*", "\n")
-    return F.btrim(text, F.lit(" \t\r\f\n"))
+        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "\n")
+    return trimmed_lines(decode_entities(strip_tags(let(text, _main_part), "\n")))
 
 
 def denial_page(html: ColumnLike) -> Column:
     """Flags pages that report denial or absence instead of content."""
-    return F.lower(col(html)).rlike("page not found|access denied|404 not found|403 forbidden")
+    return F.lower(col(html)).rlike("page not found|access denied")
 
 
 def page_segments(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Non-empty pages of form-feed separated text, with their page numbers from 1."""
     pages = docs.select(doc, *keep, F.posexplode(F.split(text, "\f")).alias("__at", "__page"))
-    trimmed = F.btrim(F.col("__page"), F.lit(" \t\r\n\f\v"))
     return pages.select(
-        doc, *keep, (F.col("__at") + 1).alias("source_page"), trimmed.alias("segment")
+        doc, *keep, (F.col("__at") + 1).alias("source_page"), strip("__page").alias("segment")
     ).filter(F.length("segment") > 0)
 
 
@@ -166,7 +163,7 @@ def doc_sidecar(
     docs: DataFrame, role: str, filename: str, method: str, text: str = "text", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Metadata and front matter per document. Works inside each row, nothing is regrouped."""
-    pages = F.transform(F.split(text, "\f"), lambda p: F.btrim(p, F.lit(" \t\r\n\f\v")))
+    pages = F.transform(F.split(text, "\f"), strip)
     numbered = F.filter(
         F.transform(pages, lambda p, i: F.struct((i + 1).alias("n"), p.alias("t"))), lambda s: F.length(s["t"]) > 0
     )

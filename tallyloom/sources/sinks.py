@@ -10,10 +10,13 @@ from pyspark.sql import types as T
 
 
 def write_parquet_zstd(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    writer = df.write.mode(mode).option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Compressed Parquet. With partition columns the rows are rebalanced on them first, so that
+    not every task writes a small file into every partition; large partitions are split."""
+    if not partition_by:
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
+        return
+    balanced = df.hint("rebalance", *partition_by)
+    balanced.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def result_table(df: DataFrame, digits: int = 6) -> DataFrame:

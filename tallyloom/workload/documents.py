@@ -85,16 +85,16 @@ def sample_identifiers(spark, sf):
 
 
 def _main_text_sql() -> str:
-    t = "regexp_replace(html,'(?is)<!--.*?-->','','g')"
+    t = "regexp_replace(html,'(?is)<!--.*?-->',chr(10),'g')"
     for tag in webpages.DROPPED_ELEMENTS:
-        t = rf"regexp_replace({t},'(?is)<{tag}\b[^>]*>.*?</{tag}\s*>','','g')"
+        t = rf"regexp_replace({t},'(?is)<{tag}\b[^>]*>.*?</{tag}\s*>',chr(10),'g')"
     part = lambda tag: rf"nullif(regexp_extract(t,'(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>',1),'')"
     main = rf"coalesce({part('main')},{part('article')},{part('body')},nullif(regexp_extract(t,'(?is)<body\b[^>]*>(.*)$',1),''),t)"
     text = f"regexp_replace({main},'<[^>]*>',chr(10),'g')"
     for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
         text = f"replace({text},'{entity}','{char}')"
-    text = rf"regexp_replace({text},'[ \t\r\f]*\n[ \t\r\f\n]*',chr(10),'g')"
-    return rf"SELECT page_id, sha256(trim({text}, ' '||chr(9)||chr(10)||chr(12)||chr(13))) AS digest FROM (SELECT page_id, {t} t FROM pages)"
+    lines = f"list_transform(string_split({text},chr(10)), lambda x: trim(x,' '||chr(9)||chr(13)))"
+    return f"SELECT page_id, sha256(array_to_string(list_filter({lines}, lambda x: x<>''),chr(10))) AS digest FROM (SELECT page_id, {t} t FROM pages)"
 
 
 @query("L6", _main_text_sql())
@@ -137,7 +137,7 @@ def document_sidecars(spark, sf):
 
 @query(
     "L9",
-    """SELECT CAST(count(*) AS BIGINT) AS denied FROM pages WHERE page_id%25=0 OR regexp_matches(lower(html),'page not found|access denied|404 not found|403 forbidden')""",
+    """SELECT CAST(count(*) AS BIGINT) AS denied FROM pages WHERE page_id%25=0 OR regexp_matches(lower(html),'page not found|access denied')""",
 )
 def denial_pages(spark, sf):
     html = F.when(F.col("page_id") % 25 == 0, F.concat("html", F.lit("<p>Access Denied</p>"))).otherwise(F.col("html"))

@@ -23,6 +23,7 @@ def test_ratio_has_no_value_for_zero(spark):
 
 def test_codes_and_bands(spark):
     assert one(spark, text.normalize_code("c"), c=" '2' ") == "2"
+    assert one(spark, text.normalize_code("c"), c="''") == ""
     assert one(spark, text.normalize_code("c"), c="'<NA>'") is None
     labels = [one(spark, recode.band("v", [1, 50, 100], ["a", "b"]), v=v) for v in (1, 50, 51, 100, 101, 0)]
     assert labels == ["a", "a", "b", "b", None, None]
