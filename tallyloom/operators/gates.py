@@ -288,11 +288,14 @@ def provenance_recorded(columns: Sequence[str]) -> list[Gate]:
 # --- gates that need a join or a regrouping --------------------------------------------------
 
 
-def key_unique_gate(df: DataFrame, keys: Sequence[str], name: str = "key_unique") -> DataFrame:
-    """Keys with more than one row. Counts combine before the shuffle."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    repeated = counts.agg(F.count_if(F.col("__n") > 1).alias("__bad"))
-    return gate_rows(repeated, [Gate(name, F.col("__bad"), "equal", 0, note=",".join(keys))])
+def key_unique_gate(
+    df: DataFrame, keys: Sequence[str], name: str = "key_unique", by: Sequence[str] = ()
+) -> DataFrame:
+    """Keys with more than one row, per release if ``by`` is given. Counts combine before the
+    shuffle."""
+    counts = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counts.groupBy(*by).agg(F.count_if(F.col("__n") > 1).alias("__bad"))
+    return gate_rows(repeated, [Gate(name, F.col("__bad"), "equal", 0, note=",".join(keys))], by)
 
 
 def foreign_key_gate(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, name: str = "foreign_key") -> DataFrame:

@@ -14,12 +14,12 @@ the same id overwrites its own directories.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .gates import FAIL, GATE_COLUMNS, Gate, gates_passed, run_gates
+from .gates import FAIL, GATE_COLUMNS, Gate, gates_passed, merge_gates, run_gates
 from .joins import missing_years
 
 SCHEMA_VERSION = 2
@@ -238,9 +238,20 @@ class Ledger:
     def current(self, keys: Sequence[str] = ("survey",)) -> DataFrame:
         return current_releases(self.releases(), keys)
 
-    def promote(self, df: DataFrame, gates: Sequence[Gate], load: str, seq: int, role: str = "table") -> DataFrame:
+    def promote(
+        self,
+        df: DataFrame,
+        gates: Sequence[Gate],
+        load: str,
+        seq: int,
+        role: str = "table",
+        further: Sequence[Callable[[DataFrame], DataFrame]] = (),
+    ) -> DataFrame:
         """Store every release in ``df`` (columns ``survey``, ``year``); return its ledger rows.
 
+        ``gates`` run in one aggregation. ``further`` makes gate rows that need a join or another
+        grouping, such as key uniqueness, from the stored table; they carry survey and year.
+
         All releases of the load are gated, fingerprinted and recorded together; no release is
         handled on its own by the driver. A failed gate quarantines that release only. Bytes of
         the artifact row are the row count of the table.
@@ -255,7 +266,7 @@ class Ledger:
         stored = self.spark.read.parquet(data_dir)
         stored = stored.withColumns({k: F.col(k).cast(schema_of[k]) for k in keys})
 
-        checks = run_gates(stored, gates, keys)
+        checks = merge_gates(run_gates(stored, gates, keys), *[make(stored) for make in further])
         checks.select(*keys, *GATE_COLUMNS).write.mode("overwrite").parquet(self._dir("checks", load))
         checks = self.spark.read.parquet(self._dir("checks", load))
 

@@ -69,7 +69,7 @@ def _by_window(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _weight_matrix(frame: pd.DataFrame) -> np.ndarray:
-    matrix = np.array([[np.nan if w is None else w for w in row] for row in frame[WEIGHTS]], dtype=float)
+    matrix = np.stack([np.asarray(row, dtype=float) for row in frame[WEIGHTS]])
     return np.where(np.isfinite(matrix) & (matrix > 0), matrix, 0.0)
 
 

@@ -34,6 +34,7 @@ def ingest_releases(
     checkpoint: str,
     name: str = "ingest",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    further: Sequence[Callable[[DataFrame], DataFrame]] = (),
 ) -> StreamingQuery:
     """Work off all files that are there now, then stop.
 
@@ -43,7 +44,7 @@ def ingest_releases(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch)
-        ledger.promote(rows, gates, load=f"{name}-{batch_id:08d}", seq=batch_id)
+        ledger.promote(rows, gates, load=f"{name}-{batch_id:08d}", seq=batch_id, further=further)
 
     return (
         stream.writeStream.foreachBatch(store)

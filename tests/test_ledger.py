@@ -52,6 +52,15 @@ def test_promote_quarantine_and_revise(spark, tmp_path):
     assert ledger.current().first()["digest"] == revised["digest"]
 
 
+def test_repeated_keys_quarantine_their_release_only(spark, tmp_path):
+    ledger = L.Ledger(spark, str(tmp_path))
+    data = FIRST[:2] + [("ahs", 2023, 1, 5.0), ("ahs", 2023, 1, 6.0)]
+    unique = lambda stored: G.key_unique_gate(stored, ["id"], by=["survey", "year"])
+    got = {r["survey"]: r["status"] for r in ledger.promote(rows(spark, data), gates(), "a", 1, further=[unique]).collect()}
+    assert got == {"cps": "promoted", "ahs": "quarantined"}
+    assert ledger.checks().filter("gate = 'key_unique'").count() == 2
+
+
 def test_added_column_keeps_earlier_fingerprints(spark, tmp_path):
     ledger = L.Ledger(spark, str(tmp_path))
     ledger.promote(rows(spark, FIRST[:2]), gates(), "a", 1)
