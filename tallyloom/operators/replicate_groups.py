@@ -68,11 +68,6 @@ def _by_window(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _weight_matrix(frame: pd.DataFrame) -> np.ndarray:
-    matrix = np.stack([np.asarray(row, dtype=float) for row in frame[WEIGHTS]])
-    return np.where(np.isfinite(matrix) & (matrix > 0), matrix, 0.0)
-
-
 def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
     n_ranges = ranges or range_count(rows, 32 * 1024 * 1024)
     cut = cut_ranges(rows, ORDER, [TIE], ranges=n_ranges)
@@ -92,15 +87,19 @@ def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
         F.sum("__sum").over(replicate).alias("__total"),
     )
 
+    # Plain values only: the function is sent to the workers, which need not have this package.
+    order, tie, value, weights = ORDER, TIE, VALUE, WEIGHTS
+
     def add_up(data: pd.DataFrame, shift: pd.DataFrame) -> pd.DataFrame:
         columns = ["replicate", "quantile_group", "sum_wv", "sum_w", "n"]
         if data.empty or shift.empty:
             return pd.DataFrame(columns=columns)
-        data = data.sort_values([ORDER, TIE], kind="mergesort")
-        matrix = _weight_matrix(data)
-        values = data[VALUE].to_numpy(dtype=float)
+        data = data.sort_values([order, tie], kind="mergesort")
+        matrix = np.stack([np.asarray(row, dtype=float) for row in data[weights]])
+        matrix = np.where(np.isfinite(matrix) & (matrix > 0), matrix, 0.0)
+        values = data[value].to_numpy(dtype=float)
         parts = []
-        for rep, before, total in zip(shift[REPLICATE], shift["__before"], shift["__total"]):
+        for rep, before, total in zip(shift["replicate"], shift["__before"], shift["__total"]):
             w = matrix[:, rep - 1]
             use = w > 0
             w, v = w[use], values[use]

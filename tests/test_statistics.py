@@ -149,3 +149,25 @@ def test_replicate_groups_agree_across_plans(spark):
     joined = a.join(b.select(*keys, F.col("mean").alias("m2"), F.col("n").alias("n2")), keys, "full_outer")
     bad = joined.filter(~F.col("n").eqNullSafe(F.col("n2")) | (F.abs(F.col("mean") - F.col("m2")) > 1e-9))
     assert bad.count() == 0 and a.count() == b.count() > 0
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    """The worker function of the range form travels by value: run it where only the driver can
+    import the package."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import functions as F
+from tallyloom.operators.replicate_groups import replicate_quantile_group_means
+from tallyloom.session import local_session
+spark = local_session("alone", 2, **{{"spark.checkpoint.dir": {str(tmp_path / 'shared')!r}, "spark.driver.memory": "2g"}})
+df = spark.range(100).select("id", F.col("id").cast("double").alias("v"), F.array(F.lit(1.0), F.lit(2.0)).alias("ws"))
+print("rows", replicate_quantile_group_means(df, "v", "v", "id", F.col("ws"), 5, "ranged").count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 10" in done.stdout, done.stderr[-2000:]
