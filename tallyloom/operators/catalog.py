@@ -55,9 +55,12 @@ def search_variables(variables: DataFrame, query: str) -> DataFrame:
     return hits.orderBy("survey", F.col("year").desc(), "variable_name", "source_file")
 
 
-def search_documents(documents: DataFrame, query: str) -> DataFrame:
-    """Documents that hold the text, with a snippet around the first hit."""
+def search_documents(documents: DataFrame, query: str, limit: int | None = None) -> DataFrame:
+    """Documents that hold the text, with a snippet around the first hit. With ``limit`` the first
+    ones in survey, newest year, role order; without it all hits, unordered."""
     hits = documents.filter(contains_text("content", query))
+    if limit is not None:
+        hits = hits.orderBy("survey", F.col("year").desc(), "document_role", "source_file").limit(limit)
     return hits.select(
         "survey", "year", "release_id", "document_role", "source_file", snippet("content", query).alias("snippet")
     )

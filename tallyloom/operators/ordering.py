@@ -13,6 +13,11 @@ from ..plans.ranges import running_total
 CUM, TOTAL = "cum_weight", "total_weight"
 
 
+def has_value(c: str) -> Column:
+    """Neither null nor NaN."""
+    return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+
+
 def cumulative_weight(
     df: DataFrame, weight: str, order: str, tie: str, by: Sequence[str] = (), strategy: str = "auto", ranges: int | None = None
 ) -> DataFrame:
@@ -38,7 +43,7 @@ def weighted_quantile(
     by = list(by)
     cuts = [q] if isinstance(q, (int, float)) else list(q)
     names = ["quantile"] if isinstance(q, (int, float)) else [f"{prefix}_{round(c * 100):d}" for c in cuts]
-    present = df.filter(F.col(value).isNotNull() & valid_weight(weight))
+    present = df.filter(has_value(value) & valid_weight(weight))
     points = present.groupBy(*by, value).agg(F.sum(weight).alias("__w"))
     run = running_total(points, "__w", value, [], by, CUM, TOTAL, strategy)
     return run.groupBy(*by).agg(
@@ -66,7 +71,7 @@ def median_unweighted(
     aggregation buffer.
     """
     by = list(by)
-    points = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    points = df.filter(has_value(value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     run = running_total(points, "__n", value, [], by, "__upto", "__all", strategy)
     lower = F.floor((F.col("__all") + 1) / F.lit(2))
     upper = F.floor((F.col("__all") + 2) / F.lit(2))
@@ -104,7 +109,7 @@ def quantile_groups_midpoint(
     strategy: str = "auto",
 ) -> DataFrame:
     """Assign each row with a value and a positive weight to one of ``k`` weighted groups."""
-    valid = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & valid_weight(weight))
+    valid = df.filter(has_value(value) & valid_weight(weight))
     run = cumulative_weight(valid, weight, value, tie, by, strategy)
     group = midpoint_group(F.col(CUM), F.col(weight), F.col(TOTAL), k)
     return run.withColumn(out, group).drop(CUM, TOTAL)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 from ..plans.ranges import RANGE, cut_ranges
 from ..plans.scratch import is_small, range_count
-from .ordering import CUM, TOTAL, cumulative_weight, midpoint_group
+from .ordering import CUM, TOTAL, cumulative_weight, has_value, midpoint_group
 from .uncertainty import REPLICATE, W, to_replicates
 
 ORDER, TIE, VALUE, WEIGHTS = "__order", "__tie", "__value", "__weights"
@@ -38,8 +38,7 @@ def replicate_quantile_group_means(
     A row takes part in a replicate when its weight there is present and positive.
     """
     array = weights if isinstance(weights, Column) else F.array(*[F.col(c).cast("double") for c in weights])
-    present = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    rows = df.filter(present(order) & present(value)).select(
+    rows = df.filter(has_value(order) & has_value(value)).select(
         F.col(order).cast("double").alias(ORDER),
         F.col(tie).alias(TIE),
         F.col(value).cast("double").alias(VALUE),

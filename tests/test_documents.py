@@ -62,6 +62,7 @@ def test_search_shares_one_limit(spark):
     hits = catalog.search_catalog(variables, docs, "wgt", 5).collect()
     assert [h["kind"] for h in hits] == ["variable"] * 4 + ["document"]
     assert [h["year"] for h in hits[:4]] == [2022, 2022, 2019, 2019]
+    assert [h["document_role"] for h in catalog.search_documents(docs, "wgt", 1).collect()] == ["changes"]
     long = catalog.search_documents(docs, "wgt").filter("source_file = 'c.txt'").first()["snippet"]
     assert "the WGT variable" in long and len(long) < 300
 

@@ -87,6 +87,13 @@ def test_weighted_quantile_takes_first_value_reaching_the_share(spark):
     assert ordering.weighted_quantile(df, "v", "w", 0.51).first()[0] == 3.0
 
 
+def test_missing_values_take_no_part_in_quantiles(spark):
+    rows = [(1.0, 1.0), (3.0, 1.0), (float("nan"), 5.0), (None, 5.0), (2.0, float("nan"))]
+    df = spark.createDataFrame(rows, "v double, w double")
+    assert ordering.weighted_quantile(df, "v", "w", 0.5).first()[0] == 1.0
+    assert ordering.median_unweighted(df, "v").first()[0] == 2.0
+
+
 def test_group_policies_differ_on_the_edge(spark):
     df = spark.createDataFrame([(float(i), 1.0, i) for i in range(1, 6)], "v double, w double, k int")
     mid = ordering.quantile_groups_midpoint(df, "v", "w", "k", 5).orderBy("k").collect()
