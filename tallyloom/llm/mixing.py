@@ -88,8 +88,9 @@ def curriculum(
     repeats: int = REPEATS,
     schedules: Sequence[Schedule] = SCHEDULES,
     digits: int = 3,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """All columns of ``docs(doc_id, text, source, ...)`` and ``__size, __source_size, __target,
+    """All columns of ``docs(doc_id, text, source, ...)``, the text only if kept, and ``__size, __source_size, __target,
     __taken, __copies``: an array of ``(words, position)``, one for each time the document is taken.
 
     A source gives its documents in the order of a hash of the id, over and over, until its target
@@ -97,7 +98,8 @@ def curriculum(
     blanks have no words and no copies. Rows that repeat an id follow one another by text. ``digits``
     hexadecimal digits of the hash make the buckets of the running sum.
     """
-    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    names = [c for c in docs.columns if keep_text or c != "text"]
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
     rows = docs.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), word_count(F.col("text")).alias("__size"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("__text"), F.struct(*own).alias("__row"))
     rows = rows.withColumn("__hash", F.md5(F.coalesce(F.col("__id").cast("string"), F.lit("")).cast("binary")))
     rows = rows.withColumn("__bucket", F.substring("__hash", 1, digits))
@@ -127,7 +129,7 @@ def curriculum(
     copies = F.filter(F.array(*[copy(F.lit(n).cast("long")) for n in range(repeats)]), lambda c: c["words"] > 0)
     rows = rows.withColumn("__copies", copies)
     taken = F.aggregate("__copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
-    return rows.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)], "__size", "__source_size", "__target", taken.alias("__taken"), "__copies")
+    return rows.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(names)], "__size", "__source_size", "__target", taken.alias("__taken"), "__copies")
 
 
 def training_order(mix: DataFrame, copies: str = "__copies") -> DataFrame:

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import text_or_empty
 
 #: Labelled rows that a model is trained on at most, those with the lowest hash of the id.
 TRAIN_ROWS = 20_000
@@ -134,48 +135,51 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rat
     return Trees(features, thresholds, values, start)
 
 
-def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All other columns of ``docs`` and one double per feature. A null text counts as empty."""
-    names = [c for c in docs.columns if c != text]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            stats = pd.DataFrame([statistics(t) for t in frame["text"]], columns=list(FEATURES))
-            yield pd.concat([frame.drop(columns="text").reset_index(drop=True), stats], axis=1)
-
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], text_or_empty(text).alias("text"))
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[:-1]) + ", ".join(f"{f} double" for f in FEATURES)
-    out = rows.mapInPandas(run, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.array(*FEATURES).alias("__features"))
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows whose labels are never learned. A null id has no labels and is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """All columns of ``docs(doc_id, ...)`` but the text, with ``held_out, score, predicted``.
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> Trees:
+    """A model of ``label`` from the statistics of labelled texts outside the held-out third.
 
-    The model learns ``label`` of at most ``train_rows`` labelled rows outside the held-out third. An
-    id with two different labels teaches nothing. Only the texts' statistics enter a score.
+    Labels are sampled down to about ``train_rows`` by a hash of the id, which bounds both what is
+    broadcast and what comes to the driver. An id with two different labels teaches nothing.
     """
-    rows = stage(document_features(docs.select(F.monotonically_increasing_id().alias("__row"), "*")), "features")
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("other"))
-    known = known.filter("y = other").filter(~held_out()).select("doc_id", F.col("y").cast("double").alias("y"))
-    sample = rows.select("doc_id", "__row", "__features").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "__features").limit(train_rows).toPandas()
-    x = np.array(sample["__features"].tolist(), float).reshape(len(sample), len(FEATURES))
-    model = fit_trees(x, sample["y"].to_numpy(float))
-    feature, threshold, leaf, start = model.feature, model.threshold, model.leaf, model.start
+    known = known.filter("y = other").filter(~held_out())
+    n = known.count()
+    if n > train_rows:
+        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.lit(int((1 << 32) * train_rows / n)))
+    chosen = known.select("doc_id", F.col("y").cast("double").alias("y"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trees = Trees(feature, threshold, leaf, start)
         for frame in frames:
-            x = np.array(frame["__features"].tolist(), float).reshape(len(frame), len(FEATURES))
-            yield frame.drop(columns="__features").assign(score=trees.scores(x))
+            x = [statistics(t) for t in frame["text"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "y": frame["y"], "x": x})
+
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", text_or_empty().alias("text"))
+    sample = rows.mapInPandas(run, "doc_id long, y double, x array<double>").toPandas().sort_values(["doc_id", "y"])
+    order = sorted(range(len(sample)), key=lambda i: (sample["doc_id"].iloc[i], tuple(sample["x"].iloc[i])))
+    x = np.array([sample["x"].iloc[i] for i in order], float).reshape(len(order), len(FEATURES))
+    return fit_trees(x, sample["y"].to_numpy(float)[order])
+
 
-    names = [c for c in rows.columns if c not in ("__row", "__features")]
-    plain = rows.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], "__features")
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in plain.schema[:-1]) + "score double"
-    out = plain.mapInPandas(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "score")
+def scored(docs: DataFrame, model: Trees, keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs(doc_id, text, ...)``, the text only if kept, with ``held_out, score,
+    predicted``. Only the statistics of the whole text enter a score; a null text counts as empty."""
+    feature, threshold, leaf, start = model.feature, model.threshold, model.leaf, model.start
+    names = [c for c in docs.columns if keep_text or c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Trees(feature, threshold, leaf, start)
+        for batch in batches:
+            x = np.array([statistics(t) for t in batch.column(batch.num_columns - 1).to_pylist()], float).reshape(batch.num_rows, len(FEATURES))
+            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(trees.scores(x))], names=[*batch.schema.names[:-1], "score"])
+
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], text_or_empty().alias("text"))
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[:-1]) + "score double"
+    out = rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "score")
     return out.select(*names, held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -123,7 +123,7 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
 
 
 def shards(stored: DataFrame, key: int, length: int = SEQUENCE, width: int = 2, slots: int = SLOTS) -> DataFrame:
-    """``shard, first_slot, n_slots, stride, payload, doc_ids, pieces, n_tokens`` of a stored
+    """``shard, first_slot, n_slots, stride, width, payload, doc_ids, pieces, n_tokens`` of a stored
     ``sequences`` frame, range-partitioned and sorted by shard. Lists and payload are in slot order;
     a short sequence is filled up with zeros and its length is in ``n_tokens``."""
     counts = stored.groupBy("part").agg(F.count("*").alias("n"))
@@ -140,12 +140,12 @@ def shards(stored: DataFrame, key: int, length: int = SEQUENCE, width: int = 2,
         table = table.sort_by("slot")
         payload = b"".join(x.ljust(stride, b"\0") for x in table["ids"].to_pylist())
         first, count = table["slot"][0].as_py(), table.num_rows
-        one = [pa.array([v], k) for v, k in ((group[0].as_py(), pa.int64()), (first, pa.int64()), (count, pa.int32()), (stride, pa.int32()), (payload, pa.binary()))]
+        one = [pa.array([v], k) for v, k in ((group[0].as_py(), pa.int64()), (first, pa.int64()), (count, pa.int32()), (stride, pa.int32()), (width, pa.int32()), (payload, pa.binary()))]
         lists = [pa.array([table[c].to_pylist()], pa.list_(k)) for c, k in (("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()))]
-        return pa.table([*one, *lists], names=["shard", "first_slot", "n_slots", "stride", "payload", "doc_ids", "pieces", "n_tokens"])
+        return pa.table([*one, *lists], names=["shard", "first_slot", "n_slots", "stride", "width", "payload", "doc_ids", "pieces", "n_tokens"])
 
     cut = rows.repartitionByRange(shuffle_partitions(stored), "shard")
-    schema = "shard long, first_slot long, n_slots int, stride int, payload binary, doc_ids array<long>, pieces array<int>, n_tokens array<int>"
+    schema = "shard long, first_slot long, n_slots int, stride int, width int, payload binary, doc_ids array<long>, pieces array<int>, n_tokens array<int>"
     return cut.groupBy("shard").applyInArrow(fill, schema)
 
 
@@ -162,6 +162,5 @@ def read_slots(spark, path: str, first: int, count: int) -> DataFrame:
     rows = spark.read.parquet(path).filter((F.col("first_slot") < first + count) & (F.col("first_slot") + F.col("n_slots") > first))
     at = F.explode(F.sequence(F.lit(0), F.col("n_slots") - 1))
     rows = rows.select("*", at.alias("at")).withColumn("slot", F.col("first_slot") + F.col("at")).filter((F.col("slot") >= first) & (F.col("slot") < first + count))
-    width = F.col("stride") / F.lit(SEQUENCE)
-    body = F.substring(F.col("payload"), F.col("at") * F.col("stride") + 1, (F.get("n_tokens", "at") * width).cast("int"))
+    body = F.substring(F.col("payload"), F.col("at") * F.col("stride") + 1, F.get("n_tokens", "at") * F.col("width"))
     return rows.select("slot", F.get("doc_ids", "at").alias("doc_id"), F.get("pieces", "at").alias("piece"), body.alias("ids")).orderBy("slot")
