@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,18 +93,56 @@ def hash_rows(block: int, hashes: np.ndarray, counts: np.ndarray, buckets: int)
     return pa.table(cols, schema=pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]))
 
 
+def _totals(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """The hash arrays of a bucket's rows and, for all their entries in order, the total count."""
+    parts = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+    hashes = np.concatenate(parts)
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
+    totals = np.empty(len(hashes), np.int64)
+    totals[order] = np.repeat(np.add.reduceat(counts[order], first), np.diff(np.r_[first, len(hashes)]))
+    return parts, totals
+
+
+CLASSES = "block int, bucket int, codes binary"
+
+
+def hash_classes(rows: DataFrame, often: int) -> DataFrame:
+    """From ``HASHES`` rows: for each of them one code per hash, 0 if its count over all blocks is 1,
+    2 if it is above ``often``, else 1. A block puts its rows together by bucket and has the codes of
+    its sorted hashes; they take a small part of what the hashes would."""
+
+    def classify(key: tuple, table: pa.Table) -> pa.Table:
+        parts, totals = _totals(table)
+        code = ((totals > 1).astype(np.uint8) + (totals > often)).astype(np.uint8)
+        cuts = np.cumsum([0, *map(len, parts)])
+        packed = [zstandard.compress(code[a:b].tobytes(), 3) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table([table["block"], table["bucket"], pa.array(packed, pa.binary())], names=["block", "bucket", "codes"])
+
+    return rows.groupBy("bucket").applyInArrow(classify, CLASSES)
+
+
+def joined_codes(buckets: list[int], codes: list[bytes]) -> np.ndarray:
+    """The codes of a block's sorted hashes from its ``CLASSES`` rows."""
+    parts = [np.frombuffer(zstandard.decompress(c), np.uint8) for _, c in sorted(zip(buckets, codes, strict=True))]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+
+
+def copies_of(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For ``base(block, key, h)`` with a text's digest ``h``: all rows with the smallest key of their
+    text as ``first``, and the distinct rows that are later copies as ``(b, key, h)``."""
+    ids = base.select("block", "key", "h")
+    ids = ids.join(ids.groupBy("h").agg(F.min("key").alias("first")), "h")
+    return ids, ids.filter("key != first").select(*[F.col(c).alias(a) for c, a in (("block", "b"), ("key", "key"), ("h", "h"))]).distinct()
+
+
 def repeated_hashes(rows: DataFrame) -> DataFrame:
     """From ``HASHES`` rows of all blocks: each block's hashes whose count over all blocks is two or
     more, with that count. A block names a hash once, so a frequent hash has one entry per block."""
 
     def add_up(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
-        hashes = np.concatenate(parts)
-        order = np.argsort(hashes, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
-        totals = np.empty(len(hashes), np.int64)
-        totals[order] = np.repeat(np.add.reduceat(counts[order], first), np.diff(np.r_[first, len(hashes)]))
+        parts, totals = _totals(table)
         cols: list[list] = [[], [], []]
         at = 0
         for block, part in zip(table["block"].to_pylist(), parts, strict=True):

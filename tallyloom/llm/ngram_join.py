@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import (
     HASHES,
     block_count,
+    copies_of,
     hash_rows,
     id_back,
     id_key,
@@ -197,12 +198,10 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_doc
     blocks = block_count(base, F.octet_length("text"))
     buckets = blocks
     base = base.withColumn("block", F.pmod(F.xxhash64("key", "h"), F.lit(blocks)).cast("int"))
-    ids = base.select("block", "key", "h")
-    firsts = ids.groupBy("h").agg(F.min("key").alias("first"))
-    ids = ids.join(firsts, "h")
+    ids, copies = copies_of(base)
     texts = base.select("block", "key", "h", "text")
     none = F.lit(None).cast("binary")
-    copies = ids.filter("key != first").select(F.col("block").alias("b"), F.col("key").alias("key"), F.col("h").alias("h"), none.alias("hashes"), none.alias("counts")).distinct()
+    copies = copies.select("*", none.alias("hashes"), none.alias("counts"))
 
     def sets_of(table: pa.Table, side: pa.Table) -> tuple[list[int], list[str], list[np.ndarray]]:
         skip = {x for x in zip(side["key"].to_pylist(), side["h"].to_pylist(), strict=True)}

@@ -5,7 +5,8 @@ A repeated string of ``width`` bytes can start at any byte. To bring its copies
 of that width is named by its minimizer: the k-gram in it with the lowest hash, the first of equals.
 Equal windows have the same minimizer at the same place. Windows of one minimizer occurrence follow
 one another and are carried together as a segment. Segments whose minimizer occurs once in the corpus
-hold no repeat and stay where they are; the rest are sent to the task of their minimizer's hash.
+hold no repeat and stay where they are; the rest are sent to the task of their minimizer's hash. Later
+copies of a whole text take no part: all they hold, their first one holds too.
 
 A task lines its segments up at the minimizer, so that equal windows start in the same column, and
 writes them column by column to an external file. It reads that file from the last column to the
@@ -35,20 +36,22 @@ from .common import (
     HASHES,
     NO_ID,
     block_count,
+    copies_of,
+    hash_classes,
     hash_rows,
     id_back,
     id_key,
-    joined_found,
-    lookup,
+    joined_codes,
     mixed,
-    repeated_hashes,
     text_or_empty,
     utf8,
 )
 
 GRAM = 20
+#: Bytes of text in a block; its arrays take some fifty times as much in a worker.
+BLOCK = 2 << 20
 #: Window starts looked at together; the minimizer's place must fit 24 bits.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Places of a minimizer above which its windows go one by one.
 OFTEN = 4096
 ABSENT = 256
@@ -186,18 +189,29 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
     if width < GRAM + 12:
         raise ValueError(f"width must be {GRAM + 12} at least")
     base = docs.select(id_key().alias("key"), text_or_empty().alias("text"), *[F.col(f"`{c}`").alias(f"rest_{i}") for i, c in enumerate(keep)])
-    blocks = buckets = block_count(base, F.octet_length("text"))
-    base = base.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).cast("int"))
+    blocks = buckets = block_count(base, F.octet_length("text"), BLOCK)
+    base = base.withColumn("h", F.sha2("text", 256))
+    base = base.withColumn("block", F.pmod(F.xxhash64("key", "h"), F.lit(blocks)).cast("int"))
     rest = [f"rest_{i}" for i in range(len(keep))]
-    grouped = base.select("block", "key", "text", *rest).groupBy("block")
+    grouped = base.select("block", "key", "h", "text", *rest).groupBy("block")
+    _, copies = copies_of(base)
+
+    def originals(table: pa.Table, side: pa.Table) -> tuple[pa.Table, np.ndarray, pa.Table]:
+        """The block in a fixed order, which rows are no copies of a smaller id's text, and those rows.
+
+        Rows arrive in any order, but each pass over a block must cut it into the same segments."""
+        table = table.sort_by([("key", "ascending"), ("h", "ascending")])
+        later = {x for x in zip(side["key"].to_pylist(), side["h"].to_pylist(), strict=True) if x[1] is not None}
+        own = np.array([x not in later for x in zip(table["key"].to_pylist(), table["h"].to_pylist(), strict=True)], bool)
+        return table, own, table.filter(pa.array(own))
 
     def named(table: pa.Table) -> tuple:
         data, offsets = utf8(table["text"])
         key = np.array(table["key"].to_pylist(), np.int64)
         return data, offsets, key, minimizers(data, offsets, width)
 
-    def count(key: tuple, table: pa.Table) -> pa.Table:
-        _, _, keys, (doc, _, _, _, f) = named(table)
+    def count(key: tuple, table: pa.Table, side: pa.Table) -> pa.Table:
+        _, _, keys, (doc, _, _, _, f) = named(originals(table, side)[2])
         own = keys[doc]
         order = np.lexsort((own, f))
         own, f = own[order], f[order]
@@ -207,13 +221,14 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
         counts = np.add.reduceat(other.astype(np.int64), first) if len(f) else np.zeros(0, np.int64)
         return hash_rows(key[0].as_py(), f[first], counts, buckets)
 
-    def repeats(table: pa.Table, hashes: list, counts: list) -> tuple:
+    def repeats(table: pa.Table, side: pa.Table) -> tuple:
         """The block's distinct segments by bucket, and which of them each segment of a text is."""
         data, offsets, keys, (doc, a, n, at, f) = named(table)
-        known, times = joined_found(hashes, counts)
-        seen = lookup(f, known, times)
-        hot = np.flatnonzero(seen > often)
-        cold = np.flatnonzero((seen > 1) & (seen <= often))
+        side = side.filter(pc.is_valid(side["codes"]))
+        codes = joined_codes(side["bucket"].to_pylist(), side["codes"].to_pylist())
+        seen = codes[np.unique(f, return_inverse=True)[1]]
+        hot = np.flatnonzero(seen == 2)
+        cold = np.flatnonzero(seen == 1)
         single = np.repeat(hot, n[hot])
         step = np.arange(len(single)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
         which = np.r_[cold, single]
@@ -245,7 +260,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
         return rank, ordered, new[mine] if len(mine) else mine, doc[which], a, n, keys, data, offsets
 
     def segments(key: tuple, table: pa.Table, side: pa.Table) -> pa.Table:
-        rank, least, *_ = repeats(table, side["hashes"].to_pylist(), side["counts"].to_pylist())
+        rank, least, *_ = repeats(originals(table, side)[2], side)
         cols: list[list] = [[] for _ in range(6)]
         lo = 0
         while lo < len(rank):
@@ -272,9 +287,9 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
         return pa.table([table["block"], table["bucket"], pa.array(rows, pa.binary())], names=["block", "bucket", "least"])
 
     def cut(key: tuple, table: pa.Table, side: pa.Table) -> pa.Table:
-        found = side.filter(pc.is_valid(side["hashes"]))
         back = side.filter(pc.is_valid(side["least"]))
-        rank, _, mine, doc, a, n, keys, data, offsets = repeats(table, found["hashes"].to_pylist(), found["counts"].to_pylist())
+        table, own, first = originals(table, side)
+        rank, _, mine, doc, a, n, keys, data, offsets = repeats(first, side)
         by_bucket = sorted(zip(back["bucket"].to_pylist(), back["least"].to_pylist(), strict=True))
         least = np.concatenate([_unpack(x, np.int64) for _, x in by_bucket]) if by_bucket else np.zeros(0, np.int64)
         size = np.array([len(x[1]) - width + 1 for x in rank], np.int64)
@@ -285,18 +300,22 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
         cover = np.zeros(len(data) + 1, np.int32)
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + width, -1)
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
         touched = np.bincount(np.searchsorted(offsets, hit, "right") - 1, minlength=len(keys)) > 0
-        raw = data.tobytes()
         cols: list[list] = [[] for _ in range(6)]
-        for i, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-            body, spans, removed = raw[lo:hi], [], 0
-            if touched[i]:
-                own = gone[lo:hi]
-                edges = np.flatnonzero(np.diff(np.r_[False, own, False])).tolist()
+        all_data, all_offsets = utf8(table["text"])
+        place = np.cumsum(own) - 1
+        for r, (lo, hi) in enumerate(zip(all_offsets[:-1].tolist(), all_offsets[1:].tolist(), strict=True)):
+            body, spans, removed, i = all_data[lo:hi].tobytes(), [], 0, place[r]
+            if not own[r]:
+                if hi - lo >= width:
+                    body, spans, removed = b"", [{"start": 0, "end": hi - lo}], hi - lo
+            elif touched[i]:
+                hit = gone[offsets[i] : offsets[i + 1]]
+                edges = np.flatnonzero(np.diff(np.r_[False, hit, False])).tolist()
                 spans = [{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2], strict=True)]
-                removed = int(own.sum())
-                body = data[lo:hi][~own].tobytes()
+                removed = int(hit.sum())
+                body = all_data[lo:hi][~hit].tobytes()
             for c, v in zip(cols, (hi - lo, removed, len(spans), hashlib.sha256(body).hexdigest(), spans, body.decode("utf-8", "ignore")), strict=True):
                 c.append(v)
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -305,16 +324,19 @@ def remove_repeats(docs: DataFrame, width: int = 50, often: int = OFTEN, keep: t
         names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", *rest]
         return pa.table([table["key"], *made, *[table[c] for c in rest]], names=names)
 
-    found = repeated_hashes(grouped.applyInArrow(count, HASHES))
-    sent = grouped.cogroup(found.groupBy("block")).applyInArrow(segments, SEGMENTS)
+    def beside(rows: DataFrame, **own: str) -> DataFrame:
+        kinds = {"b": "int", "key": "long", "h": "string", "bucket": "int", "codes": "binary", "least": "binary"}
+        return rows.select(*[F.col(own[c]).alias(c) if c in own else F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
+
+    side = beside(copies, b="b", key="key", h="h")
+    classes = hash_classes(grouped.cogroup(side.groupBy("b")).applyInArrow(count, HASHES), often)
+    side = side.union(beside(classes, b="block", bucket="bucket", codes="codes"))
+    sent = grouped.cogroup(side.groupBy("b")).applyInArrow(segments, SEGMENTS)
     least = sent.groupBy("bucket").applyInArrow(owners, "block int, bucket int, least binary")
-    none = F.lit(None)
-    side = found.select("block", none.cast("int").alias("bucket"), "hashes", "counts", none.cast("binary").alias("least")).union(
-        least.select("block", "bucket", none.cast("binary"), none.cast("binary"), "least")
-    )
+    side = side.union(beside(least, b="block", bucket="bucket", least="least"))
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept string"
     schema += "".join(f", {c} {base.schema[c].dataType.simpleString()}" for c in rest)
-    out = grouped.cogroup(side.groupBy("block")).applyInArrow(cut, schema)
+    out = grouped.cogroup(side.groupBy("b")).applyInArrow(cut, schema)
     return out.select(
         id_back("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", *[F.col(r).alias(c) for r, c in zip(rest, keep, strict=True)]
     )
