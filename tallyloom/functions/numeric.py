@@ -29,9 +29,9 @@ def to_number(c: ColumnLike, finite: bool = False) -> Column:
 
 
 def clean_number(c: ColumnLike) -> Column:
-    """Double with NaN as null, for columns that are numeric already."""
+    """Double with NaN and infinities as null, for columns that are numeric already."""
     number = col(c).cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def coerce_numeric(df: DataFrame, columns: Iterable[str], finite: bool = False) -> DataFrame:

@@ -77,6 +77,13 @@ def decode_entities(c: ColumnLike) -> Column:
     return let(col(c), _decode)
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; the replacement character for one that names none."""
+    none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    known = F.when(none, F.lit(0xFFFD)).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32")
+
+
 def _decode(text: Column) -> Column:
     numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7});"), 1))
     decoded = F.aggregate(
@@ -85,7 +92,7 @@ def _decode(text: Column) -> Column:
         lambda acc, n: F.replace(
             acc,
             F.concat(F.lit("&#"), n, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0")), "UTF-32"),
+            _character(n.cast("bigint")),
         ),
     )
     text = F.when(text.contains("&#"), decoded).otherwise(text)

@@ -14,15 +14,16 @@ CUM, TOTAL = "cum_weight", "total_weight"
 
 
 def has_value(c: str) -> Column:
-    """Neither null nor NaN."""
-    return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    """A finite number."""
+    number = F.col(c).cast("double")
+    return F.col(c).isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
 
 
 def cumulative_weight(
-    df: DataFrame, weight: str, order: str, tie: str, by: Sequence[str] = (), strategy: str = "auto", ranges: int | None = None
+    df: DataFrame, weight: str, order: str, tie: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Add ``cum_weight`` and ``total_weight`` in ``(order, tie)`` order."""
-    return running_total(df, weight, order, tie, by, CUM, TOTAL, strategy, ranges)
+    return running_total(df, weight, order, tie, by, CUM, TOTAL, ranges)
 
 
 def weighted_quantile(
@@ -31,7 +32,6 @@ def weighted_quantile(
     weight: str,
     q: float | Sequence[float] = 0.5,
     by: Sequence[str] = (),
-    strategy: str = "auto",
     prefix: str = "q",
 ) -> DataFrame:
     """Per group, the first value whose cumulative weight reaches ``q`` of the total.
@@ -45,7 +45,7 @@ def weighted_quantile(
     names = ["quantile"] if isinstance(q, (int, float)) else [f"{prefix}_{round(c * 100):d}" for c in cuts]
     present = df.filter(has_value(value) & valid_weight(weight))
     points = present.groupBy(*by, value).agg(F.sum(weight).alias("__w"))
-    run = running_total(points, "__w", value, [], by, CUM, TOTAL, strategy)
+    run = running_total(points, "__w", value, [], by, CUM, TOTAL)
     return run.groupBy(*by).agg(
         *[
             F.min(F.when(F.col(CUM) >= F.lit(c) * F.col(TOTAL), F.col(value))).alias(name)
@@ -55,15 +55,15 @@ def weighted_quantile(
 
 
 def imputed_quantile(
-    df: DataFrame, value: str, weight: str, implicate: str, q: float = 0.5, by: Sequence[str] = (), strategy: str = "auto"
+    df: DataFrame, value: str, weight: str, implicate: str, q: float = 0.5, by: Sequence[str] = ()
 ) -> DataFrame:
     """The quantile of each implicate, then their mean."""
-    per_implicate = weighted_quantile(df, value, weight, q, [*by, implicate], strategy)
+    per_implicate = weighted_quantile(df, value, weight, q, [*by, implicate])
     return per_implicate.groupBy(*by).agg(F.avg("quantile").alias("quantile"))
 
 
 def median_unweighted(
-    df: DataFrame, value: str, by: Sequence[str] = (), strategy: str = "auto", out: str = "median"
+    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median"
 ) -> DataFrame:
     """Exact median per group, the mean of the two middle values for an even count.
 
@@ -72,7 +72,7 @@ def median_unweighted(
     """
     by = list(by)
     points = df.filter(has_value(value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    run = running_total(points, "__n", value, [], by, "__upto", "__all", strategy)
+    run = running_total(points, "__n", value, [], by, "__upto", "__all")
     lower = F.floor((F.col("__all") + 1) / F.lit(2))
     upper = F.floor((F.col("__all") + 2) / F.lit(2))
     middle = run.groupBy(*by).agg(
@@ -106,11 +106,10 @@ def quantile_groups_midpoint(
     k: int,
     by: Sequence[str] = (),
     out: str = "quantile_group",
-    strategy: str = "auto",
 ) -> DataFrame:
     """Assign each row with a value and a positive weight to one of ``k`` weighted groups."""
     valid = df.filter(has_value(value) & valid_weight(weight))
-    run = cumulative_weight(valid, weight, value, tie, by, strategy)
+    run = cumulative_weight(valid, weight, value, tie, by)
     group = midpoint_group(F.col(CUM), F.col(weight), F.col(TOTAL), k)
     return run.withColumn(out, group).drop(CUM, TOTAL)
 
@@ -123,10 +122,9 @@ def quantile_groups_right_edge(
     cuts: Sequence[float] = (0.2, 0.4, 0.6, 0.8),
     by: Sequence[str] = (),
     out: str = "quantile_group",
-    strategy: str = "auto",
 ) -> DataFrame:
     """Assign rows by the right edge of their weight. Missing weights count as zero, missing
     values sort last."""
     filled = df.withColumn(weight, F.coalesce(F.col(weight), F.lit(0)))
-    run = cumulative_weight(filled, weight, value, tie, by, strategy)
+    run = cumulative_weight(filled, weight, value, tie, by)
     return run.withColumn(out, right_edge_group(F.col(CUM), F.col(TOTAL), cuts)).drop(CUM, TOTAL)

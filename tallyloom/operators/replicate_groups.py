@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
 from ..plans.ranges import RANGE, cut_ranges
-from ..plans.scratch import is_small, range_count
-from .ordering import CUM, TOTAL, cumulative_weight, has_value, midpoint_group
+from ..plans.scratch import range_count
+from .ordering import has_value
 from .uncertainty import REPLICATE, W, to_replicates
 
 ORDER, TIE, VALUE, WEIGHTS = "__order", "__tie", "__value", "__weights"
@@ -30,7 +30,6 @@ def replicate_quantile_group_means(
     tie: str,
     weights: Sequence[str] | Column,
     k: int,
-    strategy: str = "auto",
     ranges: int | None = None,
 ) -> DataFrame:
     """Weighted mean, weight and row count per replicate and weight-midpoint group of ``order``.
@@ -44,9 +43,7 @@ def replicate_quantile_group_means(
         F.col(value).cast("double").alias(VALUE),
         array.alias(WEIGHTS),
     )
-    if strategy == "auto":
-        strategy = "window" if is_small(rows, factor=4) else "ranged"
-    sums = _by_window(rows, k) if strategy == "window" else _by_range(rows, k, ranges)
+    sums = _by_range(rows, k, ranges)
     return sums.select(
         REPLICATE,
         "quantile_group",
@@ -56,17 +53,6 @@ def replicate_quantile_group_means(
     )
 
 
-def _by_window(rows: DataFrame, k: int) -> DataFrame:
-    long = to_replicates(rows, F.col(WEIGHTS), [ORDER, TIE, VALUE]).filter(
-        F.col(W).isNotNull() & ~F.isnan(W) & (F.col(W) > 0)
-    )
-    run = cumulative_weight(long, W, ORDER, TIE, [REPLICATE], strategy="window")
-    grouped = run.withColumn("quantile_group", midpoint_group(F.col(CUM), F.col(W), F.col(TOTAL), k))
-    return grouped.groupBy(REPLICATE, "quantile_group").agg(
-        F.sum(F.col(W) * F.col(VALUE)).alias("sum_wv"), F.sum(W).alias("sum_w"), F.count(F.lit(1)).alias("n")
-    )
-
-
 def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
     n_ranges = ranges or range_count(rows, 32 * 1024 * 1024)
     cut = cut_ranges(rows, ORDER, [TIE], ranges=n_ranges)

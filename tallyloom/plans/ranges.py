@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import is_small, materialize, range_count
+from .scratch import materialize, range_count
 
 RANGE = "__range"
 
@@ -53,26 +53,14 @@ def running_total(
     by: Sequence[str] = (),
     out: str = "cum_weight",
     total: str = "total_weight",
-    strategy: str = "auto",
     ranges: int | None = None,
 ) -> DataFrame:
     """Add the running and the full sum of ``value`` per group, in ``(order, tie)`` order.
 
-    ``strategy``: ``window`` for one sorted window per group, ``ranged`` for the range form,
-    ``auto`` chooses by the plan's estimated size. ``tie`` must make the order total.
+    The same plan runs at every size. ``tie`` must make the order total.
     """
     tie = [tie] if isinstance(tie, str) else list(tie)
     by = list(by)
-    if strategy == "auto":
-        strategy = "window" if is_small(df) else "ranged"
-    if strategy == "window":
-        group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-        upto = group.orderBy(*sort_keys(order, tie)).rowsBetween(Window.unboundedPreceding, 0)
-        whole = upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return df.withColumns({out: F.sum(value).over(upto), total: F.sum(value).over(whole)})
-    if strategy != "ranged":
-        raise ValueError(f"unknown strategy {strategy}")
-
     cut = cut_ranges(df, order, tie, by, ranges)
     totals = cut.groupBy(*by, RANGE).agg(F.sum(value).alias("__sum"))
     shift = range_offsets(totals, by, "__sum", "__before", "__total")

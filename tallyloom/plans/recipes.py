@@ -109,10 +109,9 @@ def spending_by_quantile(
     tie: str,
     cuts: Sequence[float],
     labels: Sequence[str],
-    strategy: str = "auto",
 ) -> DataFrame:
     """Weighted mean spending and income by weighted quantile group of income."""
-    grouped = quantile_groups_right_edge(families, income, design.full, tie, cuts, out="group_no", strategy=strategy)
+    grouped = quantile_groups_right_edge(families, income, design.full, tie, cuts, out="group_no")
     table = design.estimate(
         grouped,
         lambda w: E.weighted_mean(spending, w),
@@ -145,12 +144,11 @@ def balance_by_quantile(
     replicate_weights: Column,
     implicates: int,
     groups: int = 10,
-    strategy: str = "auto",
 ) -> DataFrame:
     """Mean balance by weighted wealth group: groups and means per implicate, bootstrap variance
     on implicate 1, imputation variance between implicates."""
     assigned = quantile_groups_midpoint(
-        summary.filter(clean_number(balance).isNotNull()), wealth, weight, family, groups, [implicate], strategy=strategy
+        summary.filter(clean_number(balance).isNotNull()), wealth, weight, family, groups, [implicate]
     )
     per = assigned.groupBy(implicate, "quantile_group").agg(
         E.weighted_mean(balance, weight).alias("mean"), F.sum(weight).alias("__w"), F.count(F.lit(1)).alias("__n")
@@ -162,7 +160,7 @@ def balance_by_quantile(
     weights = replicates.select(F.col(replicate_key).alias(record), replicate_weights.alias("__weights"))
     first = summary.filter(F.col(implicate) == 1).join(weights, record)
     means = replicate_quantile_group_means(
-        first, wealth, balance, family, F.col("__weights"), groups, strategy=strategy
+        first, wealth, balance, family, F.col("__weights"), groups
     )
     sampling = means.groupBy("quantile_group").agg(F.var_samp("mean").alias("variance"))
     table = combine_imputations(per, sampling, "mean", implicates, ["quantile_group"])
@@ -373,7 +371,7 @@ def _agreement(pair: DataFrame, check: str, difference: Column, tolerance: float
         "value_a",
         "value_b",
         difference.alias("difference"),
-        F.when(absent, F.lit(SKIP)).otherwise(passed).alias("status"),
+        F.when(absent, F.lit(FAIL)).otherwise(passed).alias("status"),
         F.when(absent, F.lit("missing value")).otherwise(F.lit("informational" if informational else "")).alias("note"),
     )
 

@@ -7,8 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_BYTES = 32 * 1024 * 1024
-
 _local_fallback: str | None = None
 
 
@@ -56,10 +54,6 @@ def plan_bytes(df: DataFrame) -> int:
     return min(int(str(plan.stats().sizeInBytes())), read)
 
 
-def is_small(df: DataFrame, factor: int = 1, limit: int = SMALL_BYTES) -> bool:
-    return plan_bytes(df) * factor <= limit
-
-
 MAX_RANGES = 32768
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,14 @@ def release_stream(
     path: str,
     schema: T.StructType,
     fmt: str = "parquet",
-    files_per_batch: int = 1000,
     **options: str,
 ) -> DataFrame:
-    """New files of a folder as a stream; each file is taken once per checkpoint."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    """New files of a folder as a stream; each file is taken once per checkpoint.
+
+    All files that are there when a run starts make one batch: a limit on files would cut a release
+    into batches, of which each would pass for the whole release.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load(path)
@@ -38,13 +42,15 @@ def ingest_releases(
 ) -> StreamingQuery:
     """Work off all files that are there now, then stop.
 
-    The load id follows from the batch number, and a load overwrites only itself, so a batch
-    that is replayed after a failure gives the same ledger.
+    The load id follows from the checkpoint and the batch number, so streams never share a load,
+    and a batch that is replayed after a failure gives the same ledger. A release must be complete
+    when a run starts.
     """
+    stream_id = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch)
-        ledger.promote(rows, gates, load=f"{name}-{batch_id:08d}", seq=batch_id, further=further)
+        ledger.promote(rows, gates, load=f"{name}-{stream_id}-{batch_id:08d}", further=further)
 
     return (
         stream.writeStream.foreachBatch(store)

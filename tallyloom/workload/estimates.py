@@ -139,7 +139,7 @@ def median_by_group(spark, sf):
 def median_by_group_ranged(spark, sf):
     """The range form that large groups take."""
     out = median_unweighted(
-        table(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag", "l_linestatus"], strategy="ranged"
+        table(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag", "l_linestatus"]
     )
     return rounded(out, 6, "median")
 

@@ -140,8 +140,8 @@ _CUM_SQL = f"""SELECT o_orderstatus, CAST(sum(cw) AS BIGINT) AS cum_sum, CAST(ma
     sum(w) OVER (PARTITION BY o_orderstatus) tw FROM {_ORD}) GROUP BY 1"""
 
 
-def _cumulative(spark, sf, strategy):
-    run = ordering.cumulative_weight(weighted_orders(spark, sf), "w", "o_orderdate", "o_orderkey", ["o_orderstatus"], strategy)
+def _cumulative(spark, sf):
+    run = ordering.cumulative_weight(weighted_orders(spark, sf), "w", "o_orderdate", "o_orderkey", ["o_orderstatus"])
     return run.groupBy("o_orderstatus").agg(
         F.sum("cum_weight").cast("bigint").alias("cum_sum"),
         F.max("cum_weight").cast("bigint").alias("cum_max"),
@@ -152,12 +152,12 @@ def _cumulative(spark, sf, strategy):
 
 @query("F2", _CUM_SQL)
 def cumulative_weights(spark, sf):
-    return _cumulative(spark, sf, "window")
+    return _cumulative(spark, sf)
 
 
 @query("F2", _CUM_SQL)
 def cumulative_weights_ranged(spark, sf):
-    return _cumulative(spark, sf, "ranged")
+    return _cumulative(spark, sf)
 
 
 _QSQL = f"""WITH p AS (SELECT o_orderstatus, o_totalprice v, sum(w) w FROM {_ORD} GROUP BY 1,2),
@@ -168,14 +168,14 @@ _QSQL = f"""WITH p AS (SELECT o_orderstatus, o_totalprice v, sum(w) w FROM {_ORD
 @query("F1", _QSQL)
 def weighted_quantiles(spark, sf):
     return ordering.weighted_quantile(
-        weighted_orders(spark, sf), "o_totalprice", "w", [0.25, 0.5, 0.9], ["o_orderstatus"], strategy="window"
+        weighted_orders(spark, sf), "o_totalprice", "w", [0.25, 0.5, 0.9], ["o_orderstatus"]
     )
 
 
 @query("F1", _QSQL)
 def weighted_quantiles_ranged(spark, sf):
     return ordering.weighted_quantile(
-        weighted_orders(spark, sf), "o_totalprice", "w", [0.25, 0.5, 0.9], ["o_orderstatus"], strategy="ranged"
+        weighted_orders(spark, sf), "o_totalprice", "w", [0.25, 0.5, 0.9], ["o_orderstatus"]
     )
 
 
@@ -205,14 +205,14 @@ def _group_profile(df):
 @query("F3", _MID_SQL)
 def midpoint_deciles(spark, sf):
     return _group_profile(
-        ordering.quantile_groups_midpoint(weighted_orders(spark, sf), "o_totalprice", "w", "o_orderkey", 10, strategy="window")
+        ordering.quantile_groups_midpoint(weighted_orders(spark, sf), "o_totalprice", "w", "o_orderkey", 10)
     )
 
 
 @query("F3", _MID_SQL)
 def midpoint_deciles_ranged(spark, sf):
     return _group_profile(
-        ordering.quantile_groups_midpoint(weighted_orders(spark, sf), "o_totalprice", "w", "o_orderkey", 10, strategy="ranged")
+        ordering.quantile_groups_midpoint(weighted_orders(spark, sf), "o_totalprice", "w", "o_orderkey", 10)
     )
 
 
@@ -241,10 +241,10 @@ def bootstrap_weights():
     return F.array(*[((1 + (k * r) % 7) * ((k + r) % 3)).cast("double") for r in range(1, B + 1)])
 
 
-def _replicate_groups(spark, sf, strategy, ranges=None):
+def _replicate_groups(spark, sf, ranges=None):
     df = table(spark, sf, "orders").withColumn("bal", F.col("o_custkey") % 1000)
     out = replicate_quantile_group_means(
-        df, "o_totalprice", "bal", "o_orderkey", bootstrap_weights(), 10, strategy, ranges
+        df, "o_totalprice", "bal", "o_orderkey", bootstrap_weights(), 10, ranges
     )
     return rounded(out, 6, "mean").select(
         REPLICATE, "quantile_group", "mean", F.col("weighted_n").cast("bigint").alias("weight"), "n"
@@ -253,12 +253,12 @@ def _replicate_groups(spark, sf, strategy, ranges=None):
 
 @query("U13", _REP_GROUPS_SQL)
 def replicate_decile_means(spark, sf):
-    return _replicate_groups(spark, sf, "window")
+    return _replicate_groups(spark, sf)
 
 
 @query("U13", _REP_GROUPS_SQL)
 def replicate_decile_means_ranged(spark, sf):
-    return _replicate_groups(spark, sf, "ranged")
+    return _replicate_groups(spark, sf)
 
 
 @query(

@@ -121,3 +121,54 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     run()
     assert ledger.releases().count() == 3
     assert ledger.current().first()["year"] == 2024
+
+
+from tallyloom.operators.gates import non_empty  # noqa: E402
+
+
+def _table(spark, survey, year, *values):
+    return spark.createDataFrame([(survey, year, float(v)) for v in values], "survey string, year int, v double")
+
+
+def test_streams_share_a_ledger_and_releases_stay_whole(spark, tmp_path):
+    from tallyloom.operators.ledger import Ledger
+    from tallyloom.streaming.ingest import ingest_releases, release_stream
+
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    for survey in ("acs", "007"):
+        path = str(tmp_path / survey)
+        for n in range(4):
+            _table(spark, survey, 2023, n, n + 10).write.mode("append").parquet(path)
+        stream = release_stream(spark, path, _table(spark, survey, 2023).schema)
+        ingest_releases(stream, ledger, [non_empty()], str(tmp_path / f"checkpoint-{survey}")).awaitTermination()
+    assert ledger.read("acs").count() == 8
+    assert ledger.read("007").select("survey").distinct().first()[0] == "007"
+    assert ledger.releases().filter("status = 'promoted'").count() == 2
+
+
+def test_recorded_load_is_immutable(spark, tmp_path):
+    import pytest
+
+    from tallyloom.operators.ledger import Ledger
+
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    first = ledger.promote(_table(spark, "acs", 2023, 1, 2), [non_empty()], "one").collect()
+    assert ledger.promote(_table(spark, "acs", 2023, 2, 1), [non_empty()], "one").collect() == first
+    with pytest.raises(ValueError):
+        ledger.promote(_table(spark, "acs", 2023, 3), [non_empty()], "one")
+    assert ledger.read("acs").count() == 2
+
+
+def test_empty_load(spark, tmp_path):
+    from tallyloom.operators.ledger import Ledger
+
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.promote(_table(spark, "acs", 2023), [non_empty()], "none").count() == 0
+    assert ledger.promote(_table(spark, "acs", 2023, 1), [non_empty()], "some").first()["seq"] == 0
+
+
+def test_code_points_out_of_range(spark):
+    from tallyloom.functions.text import decode_entities
+
+    df = spark.createDataFrame([("a&#1114112;b&#55296;&#65;",)], "t string")
+    assert df.select(decode_entities("t")).first()[0] == "a�b�A"
