@@ -13,24 +13,21 @@ whose payload holds its slots one after another, each of ``stride`` bytes: slot
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mixed, shuffle_partitions, stage, text_or_empty
+from .token_count import parts_of
 
 SEQUENCE = 1024
 SLOTS = 256
 ROUNDS = 6
-REMEMBERED = 200_000
-WORDS = re.compile(r"\s*\S+|\s+")
-#: White space to Python's expressions but not to the vocabulary's.
-ODD = re.compile("[\x1c-\x1f]")
 
 
 def _round_keys(key: int) -> list[np.uint64]:
@@ -73,8 +70,9 @@ def slot_column(number: Column, n: int, key: int) -> Column:
 def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE) -> DataFrame:
     """``part, place, doc_id, piece, n_tokens, ids`` of the texts' tokens in sequences of ``length``.
 
-    ``ids`` are little-endian 16-bit numbers, or 32-bit ones for vocabularies that need them. Special
-    strings in a text are ordinary text. A text without tokens has no sequence. ``part`` and ``place``
+    ``ids`` are little-endian 16-bit numbers, or 32-bit ones for vocabularies that need them, each
+    sequence compressed, as the stored table and the shuffle both hold every token. Long texts are
+    encoded in parts that no token crosses. Special strings in a text are ordinary text. A text without tokens has no sequence. ``part`` and ``place``
     are the task and the row in it; the frame must be stored before they are used.
     """
     with open(path, "rb") as f:
@@ -88,23 +86,12 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
         kind = "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
         size = np.dtype(kind).itemsize
         own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        table: dict[str, bytes] = {}
+        pack = zstandard.ZstdCompressor(level=1).compress
         part, place = TaskContext.get().partitionId(), 0
 
         def encode(text: str) -> bytes:
-            # No token reaches over the start of white space, so words can be looked up one by one.
-            words = [text] if ODD.search(text) else WORDS.findall(text)
-            out = []
-            for w in words:
-                found = table.get(w)
-                if found is None:
-                    found = np.array(own.encode_ordinary(w), kind).tobytes()
-                    if len(table) >= REMEMBERED:
-                        table.clear()
-                    if len(w) < 64:
-                        table[w] = found
-                out.append(found)
-            return b"".join(out)
+            ids = (own.encode_ordinary(piece) for piece in parts_of(text))
+            return b"".join(np.fromiter(x, kind, len(x)).tobytes() for x in ids)
 
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
@@ -112,7 +99,7 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
                 ids = encode(text.as_py())
                 for i, at in enumerate(range(0, len(ids), length * size)):
                     body = ids[at : at + length * size]
-                    for c, v in zip(cols, (part, place, doc, i, len(body) // size, body), strict=True):
+                    for c, v in zip(cols, (part, place, doc, i, len(body) // size, pack(body)), strict=True):
                         c.append(v)
                     place += 1
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
@@ -138,7 +125,8 @@ def shards(stored: DataFrame, key: int, length: int = SEQUENCE, width: int = 2,
 
     def fill(group: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("slot")
-        payload = b"".join(x.ljust(stride, b"\0") for x in table["ids"].to_pylist())
+        unpack = zstandard.ZstdDecompressor().decompress
+        payload = b"".join(unpack(x).ljust(stride, b"\0") for x in table["ids"].to_pylist())
         first, count = table["slot"][0].as_py(), table.num_rows
         one = [pa.array([v], k) for v, k in ((group[0].as_py(), pa.int64()), (first, pa.int64()), (count, pa.int32()), (stride, pa.int32()), (width, pa.int32()), (payload, pa.binary()))]
         lists = [pa.array([table[c].to_pylist()], pa.list_(k)) for c, k in (("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()))]
