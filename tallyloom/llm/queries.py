@@ -53,9 +53,11 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = curriculum(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    # In the order of each document's first training position; what is not taken comes last.
-    rows = mix.withColumn("first", F.get("__copies", F.lit(0))["position"])
-    rows = rows.repartitionByRange(F.col("first").asc_nulls_last()).sortWithinPartitions(F.col("first").asc_nulls_last())
+    # In the order of each document's first training position; what is not taken comes last, spread
+    # over several ranges by a hash.
+    rows = mix.withColumns({"first": F.get("__copies", F.lit(0))["position"], "spread": F.xxhash64("doc_id")})
+    order = [F.col("first").asc_nulls_last(), F.col("spread")]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select(
         "doc_id",
         F.col("__size").alias("size"),
