@@ -48,11 +48,12 @@ def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def row_code(columns: Sequence[str]) -> Column:
-    """A 48-bit number from the SHA-256 of a row's ``name=value`` fields in name order.
+    """A 48-bit number from the SHA-256 of a row's fields in name order.
 
-    Null fields are left out, so a column added by a later load does not change earlier rows.
+    Names and values carry their lengths, so no content of one row reads as fields of another. Null fields are left out, so a column added by a later load does not change earlier rows.
     """
-    fields = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(columns)]
+    value = {c: F.col(c).cast("string") for c in columns}
+    fields = [F.concat(F.lit(f"{len(c)}:{c}="), F.length(value[c]).cast("string"), F.lit(":"), value[c]) for c in sorted(columns)]
     return F.conv(F.substring(F.sha2(F.concat_ws("\x1f", *fields), 256), 1, 12), 16, 10).cast("bigint")
 
 

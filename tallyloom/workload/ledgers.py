@@ -18,7 +18,7 @@ KEYS = ["survey", "year"]
 
 def fingerprint_sql(fields: list[str], source: str, by: str) -> str:
     """``by``, row count and fingerprint of ``name=value`` fields, in name order."""
-    text = "concat_ws(chr(31)," + ",".join(f"'{n}='||{e}" for n, e in (f.split(":", 1) for f in sorted(fields))) + ")"
+    text = "concat_ws(chr(31)," + ",".join(f"'{len(n)}:{n}='||length(CAST({e} AS VARCHAR))||':'||CAST({e} AS VARCHAR)" for n, e in (f.split(":", 1) for f in sorted(fields))) + ")"
     return f"""SELECT {by}, n AS n_rows, sha256(n||':'||s) AS sha256 FROM (SELECT {by}, count(*) n, CAST(sum(CAST(('0x'||substr(sha256({text}),1,12)) AS BIGINT)) AS VARCHAR) s FROM {source} GROUP BY ALL)"""
 
 

@@ -194,16 +194,15 @@ def label_order(spark, sf):
 
 @query(
     "G3",
-    """SELECT c_mktsegment, c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (ORDER BY c_mktsegment, c_nationkey DESC, c_custkey) rn FROM customer) WHERE rn<=40""",
+    "SELECT c_mktsegment, c_nationkey, c_custkey FROM customer ORDER BY c_mktsegment, c_nationkey DESC, c_custkey",
 )
 def multi_key_order(spark, sf):
-    ordered = series.multi_key_sort(
+    return series.multi_key_sort(
         table(spark, sf, "customer").select("c_mktsegment", "c_nationkey", "c_custkey"),
         "c_mktsegment",
         F.col("c_nationkey").desc(),
         "c_custkey",
     )
-    return ordered.limit(40)
 
 
 @query(

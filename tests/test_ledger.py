@@ -172,3 +172,10 @@ def test_code_points_out_of_range(spark):
 
     df = spark.createDataFrame([("a&#1114112;b&#55296;&#65;",)], "t string")
     assert df.select(decode_entities("t")).first()[0] == "a�b�A"
+
+
+def test_row_codes_keep_fields_apart(spark):
+    from tallyloom.operators.ledger import row_code
+
+    df = spark.createDataFrame([("1\x1fb=2", None), ("1", "2"), ("1", "1:2"), ("1\x1f1:b=1:2", None)], "a string, b string")
+    assert df.select(row_code(["a", "b"]).alias("c")).distinct().count() == 4
