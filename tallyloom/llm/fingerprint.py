@@ -26,62 +26,107 @@ CHUNKS = 64
 COMMON = 3
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes hashed at a time.
-PIECE = 1 << 20
+#: Bytes hashed at a time; shorter texts are put together up to it.
+PIECE = 1 << 17
 
 
-def _triggers(data: np.ndarray) -> np.ndarray:
-    """The rolling hash after each byte, of the last seven."""
-    letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[data]
+def _letters() -> np.ndarray:
+    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+
+
+def _levels(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each byte the trailing zeros of the rolling hash of the last seven bytes of its text: the
+    power of two up to which block sizes it is a trigger. ``place`` counts from the text's start."""
+    letters = _letters()[data]
     out = letters.copy()
     for k in range(1, WINDOW):
-        out[k:] += letters[:-k] * np.uint64(pow(_BASE, k, 1 << 64))
-    return mixed(out)
+        out[k:] += np.where(place[k:] >= k, letters[:-k] * np.uint64(pow(_BASE, k, 1 << 64)), np.uint64(0))
+    out = mixed(out)
+    return np.bitwise_count((out & (~out + np.uint64(1))) - np.uint64(1))
+
+
+def _power(base: int, exponents: np.ndarray) -> np.ndarray:
+    out, square, left = np.ones(len(exponents), np.uint64), base, exponents.astype(np.uint64)
+    while left.any():
+        out = np.where(left & np.uint64(1), out * np.uint64(square), out)
+        square = square * square % (1 << 64)
+        left = left >> np.uint64(1)
+    return out
 
 
-def _signature(data: np.ndarray, ends: np.ndarray, most: int) -> str:
-    """One character per chunk; ``ends`` are the places just after triggers."""
-    ends = ends[: most - 1]
-    ends = np.r_[ends, len(data)] if not len(ends) or ends[-1] < len(data) else ends
+def _digits(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One character per chunk, as bytes; chunks follow one another and stop at ``ends``."""
     starts = np.r_[0, ends[:-1]]
     sums = np.zeros(len(ends), np.uint64)
-    letters = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+    letters = _letters()
+    power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(min(PIECE, len(data)) - 1, _BASE, np.uint64)])
     for lo in range(0, len(data), PIECE):
         part = data[lo : lo + PIECE]
-        power = np.multiply.accumulate(np.r_[np.uint64(pow(_BASE, lo, 1 << 64)), np.full(len(part) - 1, _BASE, np.uint64)])
-        run = np.r_[np.uint64(0), np.cumsum(letters[part] * power)]
-        a, b = (np.clip(x - lo, 0, len(part)) for x in (starts, ends))
-        sums += run[b] - run[a]
+        run = np.r_[np.uint64(0), np.cumsum(letters[part] * (power[: len(part)] * np.uint64(pow(_BASE, lo, 1 << 64))))]
+        own = slice(int(np.searchsorted(ends, lo, "right")), int(np.searchsorted(starts, lo + len(part))))
+        a, b = (np.clip(x[own] - lo, 0, len(part)) for x in (starts, ends))
+        sums[own] += run[b] - run[a]
     # The sum of a chunk moved to its own start.
-    back = _power(_INVERSE, starts)
-    digit = mixed(sums * back + (ends - starts).astype(np.uint64)) >> np.uint64(58)
-    return "".join(ALPHABET[d] for d in digit.tolist())
+    digit = mixed(sums * _power(_INVERSE, starts) + (ends - starts).astype(np.uint64)) >> np.uint64(58)
+    return np.frombuffer(ALPHABET.encode(), np.uint8)[digit.astype(np.int64)]
 
 
-def _power(base: int, exponents: np.ndarray) -> np.ndarray:
-    out, square, left = np.ones(len(exponents), np.uint64), base, exponents.astype(np.uint64)
-    while left.any():
-        out = np.where(left & np.uint64(1), out * np.uint64(square), out)
-        square = square * square % (1 << 64)
-        left = left >> np.uint64(1)
+def _signatures(data: np.ndarray, stops: np.ndarray, of: np.ndarray, level: np.ndarray, at: np.ndarray, least: np.ndarray, most: int) -> list[str]:
+    """Signatures of texts that end at ``stops``. ``at`` are places just after a trigger, with their
+    text ``of`` and ``level``; those of the text's ``least`` level count, ``most - 1`` of them."""
+    met = level >= least[of]
+    ends, own = at[met], of[met]
+    first = np.searchsorted(own, np.arange(len(stops)))
+    ends = np.union1d(ends[np.arange(len(ends)) - first[own] < most - 1], stops)
+    shown = _digits(data, ends).tobytes().decode()
+    cuts = np.searchsorted(ends, stops, "right").tolist()
+    return [shown[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+
+def _together(texts: list[np.ndarray]) -> list[str]:
+    data, size = np.concatenate(texts), np.array([len(x) for x in texts], np.int64)
+    stops = np.cumsum(size)
+    at, of, level = [], [], []
+    for lo in range(0, len(data), PIECE):
+        back = max(0, lo - WINDOW + 1)
+        place = np.arange(back, min(len(data), lo + PIECE))
+        text = np.searchsorted(stops, place, "right")
+        own = _levels(data[back : lo + PIECE], place - (stops - size)[text])[lo - back :]
+        # Odd hashes are triggers of no block size.
+        hit = np.flatnonzero(own > 0)
+        at.append(hit + lo + 1)
+        of.append(text[lo - back :][hit])
+        level.append(own[hit])
+    at, of, level = np.concatenate(at), np.concatenate(of), np.concatenate(level)
+    # A trigger stays one at every smaller block size.
+    met = np.bincount(of * 65 + level, minlength=65 * len(texts)).reshape(-1, 65)[:, ::-1].cumsum(axis=1)[:, ::-1]
+    least_level = LEAST_BLOCK.bit_length() - 1
+    least = np.array([max(least_level, (-(-n // CHUNKS) - 1).bit_length()) for n in size.tolist()])
+    while (low := (least > least_level) & (met[np.arange(len(texts)), least] < CHUNKS // 2)).any():
+        least = least - low
+    first = _signatures(data, stops, of, level, at, least, CHUNKS)
+    second = _signatures(data, stops, of, level, at, least + 1, CHUNKS // 2)
+    return [f"{1 << e}:{x}:{y}" for e, x, y in zip(least.tolist(), first, second, strict=True)]
+
+
+def fingerprints(texts: list[np.ndarray]) -> list[str]:
+    """``block:signature:signature at twice the block`` of each text's bytes; ``1::`` of an empty one."""
+    out = ["1::"] * len(texts)
+    waiting: list[int] = []
+    size = 0
+    for i, x in enumerate([*texts, None]):
+        if waiting and (x is None or size + len(x) > PIECE):
+            for j, f in zip(waiting, _together([texts[j] for j in waiting]), strict=True):
+                out[j] = f
+            waiting, size = [], 0
+        if x is not None and len(x):
+            waiting.append(i)
+            size += len(x)
     return out
 
 
 def fingerprint(data: np.ndarray) -> str:
-    """``block:signature:signature at twice the block`` of a text's bytes; ``1::`` of an empty one."""
-    if not len(data):
-        return "1::"
-    block = LEAST_BLOCK
-    while block * CHUNKS < len(data):
-        block *= 2
-    rolled = np.concatenate([_triggers(data[max(0, lo - WINDOW + 1) : lo + PIECE])[lo - max(0, lo - WINDOW + 1) :] for lo in range(0, len(data), PIECE)])
-    # Places that meet a trigger keep meeting it at every smaller block size.
-    low = rolled & np.uint64(2 * block - 1)
-    while block > LEAST_BLOCK and ((low & np.uint64(block - 1)) == 0).sum() < CHUNKS // 2:
-        block //= 2
-    first = np.flatnonzero((low & np.uint64(block - 1)) == 0) + 1
-    second = np.flatnonzero((low & np.uint64(2 * block - 1)) == 0) + 1
-    return f"{block}:{_signature(data, first, CHUNKS)}:{_signature(data, second, CHUNKS // 2)}"
+    return fingerprints([data])[0]
 
 
 def _codes(signatures: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -202,14 +247,13 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         texts, offsets = utf8(table["text"])
         order = [*own, after]
         bytes_of = [texts[offsets[i] : offsets[i + 1]] for i in order]
-        prints = [fingerprint(x) for x in bytes_of]
         text_of = [x.tobytes().decode() for x in bytes_of]
-        edited, digests = [], []
+        edited = []
         for x, y in zip(text_of[:-1], text_of[1:], strict=True):
             half = len(x) // 2
-            new = (x[: len(x) - half] + y[:half]).encode()
-            digests.append(hashlib.sha256(new).hexdigest())
-            edited.append(fingerprint(np.frombuffer(new, np.uint8)))
+            edited.append((x[: len(x) - half] + y[:half]).encode())
+        digests = [hashlib.sha256(x).hexdigest() for x in edited]
+        prints, edited = fingerprints(bytes_of), fingerprints([np.frombuffer(x, np.uint8) for x in edited])
         cols = [[keys[i] for i in own], [len(x) for x in text_of[:-1]], digests, prints[:-1], edited, likeness(prints[:-1], edited), likeness(prints[:-1], prints[1:])]
         return pa.table(cols, names=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
