@@ -16,7 +16,7 @@ MISSING_CODES = ("nan", "<na>")
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
-# Named HTML entities decoded in page text. Ampersand comes last.
+# Named HTML entities decoded in page text.
 ENTITIES = {
     "&nbsp;": "\xa0",
     "&middot;": "·",
@@ -40,6 +40,10 @@ ENTITIES = {
 }
 
 
+# A character reference: decimal, hexadecimal or by name.
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once. A long text expression that is named twice
     would otherwise run twice, and again at every level that names its result twice."""
@@ -73,7 +77,7 @@ def slug(c: ColumnLike) -> Column:
 
 
 def decode_entities(c: ColumnLike) -> Column:
-    """Decode numeric character references and the common named entities."""
+    """Decode numeric character references and the common named entities, in one pass."""
     return let(col(c), _decode)
 
 
@@ -85,20 +89,23 @@ def _character(code: Column) -> Column:
 
 
 def _decode(text: Column) -> Column:
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7});"), 1))
-    decoded = F.aggregate(
-        numbers,
-        text,
-        lambda acc, n: F.replace(
-            acc,
-            F.concat(F.lit("&#"), n, F.lit(";")),
-            _character(n.cast("bigint")),
-        ),
-    )
-    text = F.when(text.contains("&#"), decoded).otherwise(text)
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Text between references and the characters they stand for, in turn. What a reference decodes
+    to is not read again, and an unknown name stays as it is."""
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def one(reference: Column) -> Column:
+        digits = F.regexp_extract(reference, "^&#([0-9]+);$", 1)
+        hexadecimal = F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+);$", 1)
+        return (
+            F.when(digits != "", _character(digits.try_cast("bigint")))
+            .when(hexadecimal != "", _character(F.conv(hexadecimal, 16, 10).cast("bigint")))
+            .otherwise(F.coalesce(F.try_element_at(names, reference), reference))
+        )
+
+    references = F.transform(F.regexp_extract_all(text, F.lit(f"({REFERENCE})"), 1), one)
+    between = F.split(text, REFERENCE, -1)
+    pieces = F.zip_with(between, references, lambda t, r: F.concat(t, F.coalesce(r, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def to_date_lenient(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:

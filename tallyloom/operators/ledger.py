@@ -5,6 +5,7 @@ Layout under one root, every directory written by one load:
     data/load=<id>/survey=<s>/year=<y>/part-*      release rows
     ledger/artifacts/load=<id>/                    one row per stored artifact
     ledger/checks/load=<id>/                       one row per gate
+    ledger/schemas/load=<id>/                      the columns of the stored rows
     ledger/releases/load=<id>/                     one row per release, written last
 
 Readers find data only through ``ledger/releases``. Data lands first and the ledger row last, so
@@ -14,7 +15,9 @@ the same id overwrites its own directories.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,6 +275,7 @@ class Ledger:
         # large for one task and packs small ones.
         balanced = df.hint("rebalance", *keys)
         balanced.write.mode("overwrite").option("compression", "zstd").partitionBy(*keys).parquet(data_dir)
+        self.spark.createDataFrame([(df.schema.json(),)], "schema string").write.mode("overwrite").parquet(self._dir("schemas", load))
         # The known schema: partition values are not guessed at, and an empty load has one too.
         stored = self.spark.read.schema(df.schema).parquet(data_dir)
 
@@ -331,23 +335,36 @@ class Ledger:
         data = self.spark.read.schema(schema).parquet(path)
         return data.filter((F.col("survey") == F.lit(survey)) & (F.col("year") == F.lit(row["year"])))
 
-    def _data(self) -> DataFrame:
-        if not self._exists(f"{self.root}/data"):
-            raise LookupError("the ledger holds no data")
-        path = f"{self.root}/data"
-        known = {"survey": T.StringType(), "year": T.IntegerType(), "load": T.StringType()}
-        guessed = self.spark.read.option("mergeSchema", True).parquet(path).schema
-        schema = T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in guessed])
-        return self.spark.read.schema(schema).parquet(path)
+    def _stored(self, loads: DataFrame) -> list[DataFrame]:
+        """Rows of the given loads, a frame for each set of columns and types that they were stored
+        with, so that a column may change its type from load to load. Lost folders are left out."""
+        known = {"survey": T.StringType(), "year": T.IntegerType()}
+        kinds = self._read("schemas", "schema string, load string").join(loads.select("load").distinct(), "load", "left_semi")
+        frames = []
+        # One row per schema; it lists loads, which are as many as the runs that stored them.
+        for kind in kinds.groupBy("schema").agg(F.array_sort(F.collect_list("load")).alias("loads")).orderBy("schema").collect():
+            folders = [d for d in (self._dir("data", load) for load in kind["loads"]) if self._exists(d)]
+            if not folders:
+                continue
+            fields = T.StructType.fromJson(json.loads(kind["schema"])).fields
+            schema = T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in fields]).add("load", T.StringType())
+            frames.append(self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*folders))
+        return frames
 
     def revalidate(self, gates: Sequence[Gate], load: str) -> DataFrame:
-        """Run gates again over the current releases and append the result rows under ``load``."""
+        """Run gates again over the current releases and append the result rows under ``load``. A
+        column that a release does not have is null there."""
         keys = ["survey", "year"]
         current = self.current(keys).select(*keys, "load")
-        rows = self._data().join(current, [*keys, "load"], "left_semi")
-        run_gates(rows, gates, keys).select(*keys, *GATE_COLUMNS).write.mode("overwrite").parquet(
-            self._dir("checks", load)
-        )
+        frames = self._stored(current)
+        if not frames:
+            raise LookupError("the ledger holds no data")
+        types = {f.name: f.dataType for frame in frames for f in frame.schema}
+        checks = []
+        for frame in frames:
+            rows = frame.select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items() if c not in frame.columns])
+            checks.append(run_gates(rows.join(current, [*keys, "load"], "left_semi"), gates, keys).select(*keys, *GATE_COLUMNS))
+        reduce(DataFrame.unionByName, checks).write.mode("overwrite").parquet(self._dir("checks", load))
         return self.checks().filter(F.col("load") == F.lit(load))
 
     def scrub(self) -> DataFrame:
@@ -355,9 +372,8 @@ class Ledger:
         keys = ["survey", "year"]
         promoted = self.releases().filter(F.col("status") == PROMOTED)
         artifacts = self.artifacts().join(promoted.select(*keys, "digest", "load"), [*keys, "digest", "load"], "left_semi")
-        data = self._data()
-        columns = [c for c in data.columns if c not in (*keys, "load")]
-        found = table_fingerprint(data, [*keys, "load"], columns)
+        none = self.spark.createDataFrame([], "survey string, year int, load string, n_rows bigint, sha256 string")
+        found = reduce(DataFrame.unionByName, [table_fingerprint(frame, [*keys, "load"]) for frame in self._stored(promoted)], none)
         actual = (
             artifacts.select(*keys, "load", "digest", "role")
             .join(found, [*keys, "load"])

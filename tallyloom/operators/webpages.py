@@ -15,8 +15,9 @@ from ..functions.numeric import ColumnLike, col
 from ..functions.text import collapse_whitespace, content_sha256, decode_entities, let, strip, trimmed_lines
 from .joins import with_one_row
 
-ANCHOR = r"""(?is)<a\s[^>]*?href=["'][^"']+["'][^>]*>.*?</a>"""
-HREF = r"""(?is)^<a\s[^>]*?href=["']([^"']+)["']"""
+_TARGET = r"""(["'][^"']+["']|[^\s"'>]+)"""
+ANCHOR = rf"""(?is)<a\s[^>]*?href\s*=\s*{_TARGET}[^>]*>.*?</a>"""
+HREF = rf"""(?is)^<a\s[^>]*?href\s*=\s*{_TARGET}"""
 
 # Elements without readable text.
 DROPPED_ELEMENTS = ("script", "style", "noscript", "nav", "header", "footer")
@@ -33,6 +34,24 @@ def resolve_url(href: ColumnLike, base: ColumnLike) -> Column:
     return let(col(href), lambda h: _resolve(h, F.regexp_replace(col(base), "#.*$", "")))
 
 
+def _without_dots(url: Column) -> Column:
+    """``.`` and ``..`` segments of the path worked out; ``..`` at the root is dropped."""
+    parts = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
+    segments = F.split(F.regexp_extract(url, parts, 2), "/")
+    last = F.element_at(segments, -1)
+    # A path that ends in a dot segment ends in its folder.
+    closed = F.when(last.isin(".", ".."), F.array_append(segments, F.lit(""))).otherwise(segments)
+    kept = F.aggregate(
+        closed,
+        F.array().cast("array<string>"),
+        lambda out, s: F.when(s == ".", out)
+        .when(s == "..", F.when(F.size(out) > 1, F.slice(out, 1, F.size(out) - 1)).otherwise(out))
+        .otherwise(F.array_append(out, s)),
+    )
+    clean = F.concat(F.regexp_extract(url, parts, 1), F.array_join(kept, "/"), F.regexp_extract(url, parts, 3))
+    return F.when(url.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/\.{1,2}(/|[?#]|$)"), clean).otherwise(url)
+
+
 def _resolve(href: Column, base: Column) -> Column:
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
@@ -42,10 +61,10 @@ def _resolve(href: Column, base: Column) -> Column:
     return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("/"), let(F.concat(root, href), _without_dots))
         .when(href.startswith("#"), F.concat(base, href))
         .when(href.startswith("?"), F.concat(path, href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(let(F.concat(folder, href), _without_dots))
     )
 
 
@@ -55,7 +74,7 @@ def extract_links(pages: DataFrame, page: str = "page_id", url: str = "url", htm
     label = F.regexp_replace(F.regexp_replace(F.col("__a"), r"(?is)^<a\s[^>]*>", ""), r"(?is)</a>$", "")
     return anchors.select(
         page,
-        resolve_url(decode_entities(F.trim(F.regexp_extract("__a", HREF, 1))), F.col(url)).alias("link"),
+        resolve_url(decode_entities(F.trim(F.btrim(F.regexp_extract("__a", HREF, 1), F.lit("\"'")))), F.col(url)).alias("link"),
         collapse_whitespace(decode_entities(strip_tags(label))).alias("label"),
     )
 

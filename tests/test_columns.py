@@ -55,3 +55,8 @@ def test_entities(spark):
 def test_search_treats_wildcards_as_text(spark):
     df = spark.createDataFrame([("100% sure",), ("100 sure",)], "t string")
     assert df.filter(text.contains_text("t", "0%")).count() == 1
+
+
+def test_entities_are_read_once(spark):
+    assert one(spark, text.decode_entities("t"), t="&#38;lt; &#x27;q&#X1F600;&eacute;&amp;amp; & &;") == "&lt; 'q\U0001f600&eacute;&amp; & &;"
+    assert one(spark, text.decode_entities("t"), t="&lt;&gt;") == "<>"

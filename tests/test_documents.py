@@ -83,3 +83,16 @@ def test_latest_and_as_of(spark):
     assert {r["v"] for r in series.latest_per_group(df, ["area"], "q", "k", "2020-Q1").collect()} == {2.0}
     based = series.asof_baseline(df, "area", "q", "v", F.lit("2024-Q1")).filter("area = 'a'").select("baseline").distinct()
     assert [r[0] for r in based.collect()] == [1.0]
+
+
+def test_links_resolve_dots_and_bare_targets(spark):
+    from urllib.parse import urljoin
+
+    base = "https://x.org/c/d/e.html?a=../b"
+    targets = ["../data.zip", "./y.csv", "plain.zip", "../../../z", "a/./b/../c?q=../r", "/p/../q/.", "..", "?s=./t", "#f", "//h/./i", "http://o/a/../b", "g/.h/..i/"]
+    html = "".join(f"<a class=k href={t}>{i}</a>" for i, t in enumerate(targets)) + "<A HREF = 'in quotes.csv' >q</A>"
+    page = spark.createDataFrame([(1, base, html)], "page_id long, url string, html string")
+    from tallyloom.operators.webpages import extract_links
+
+    got = {r["label"]: r["link"] for r in extract_links(page).collect()}
+    assert got == {str(i): urljoin(base, t) for i, t in enumerate(targets)} | {"q": "https://x.org/c/d/in quotes.csv"}

@@ -179,3 +179,18 @@ def test_row_codes_keep_fields_apart(spark):
 
     df = spark.createDataFrame([("1\x1fb=2", None), ("1", "2"), ("1", "1:2"), ("1\x1f1:b=1:2", None)], "a string, b string")
     assert df.select(row_code(["a", "b"]).alias("c")).distinct().count() == 4
+
+
+def test_a_column_may_change_its_type(spark, tmp_path):
+    ledger = L.Ledger(spark, str(tmp_path))
+    ledger.promote(rows(spark, FIRST[:2]), gates(), "a")
+    later = spark.createDataFrame([("cps", 2024, 1, "x", 1), ("cps", 2024, 2, "y", 2)], "survey string, year int, id int, v string, more int")
+    ledger.promote(later, gates(), "b")
+    assert ledger.scrub().count() == 0
+    checks = ledger.revalidate([G.row_minimum(2), G.Gate("more", F.count("more"), "equal", 2)], "again")
+    assert {(r["year"], r["gate"], r["status"]) for r in checks.collect() if r["gate"] == "more"} == {(2023, "more", "fail"), (2024, "more", "pass")}
+    # Other rows in place of the stored ones, then none at all.
+    later.withColumn("v", F.lit("z")).write.mode("overwrite").partitionBy("survey", "year").parquet(f"{tmp_path}/data/load=b")
+    assert {r["year"] for r in ledger.scrub().collect()} == {2024}
+    later.limit(0).drop("survey", "year").write.mode("overwrite").parquet(f"{tmp_path}/data/load=b")
+    assert {r["year"] for r in ledger.scrub().collect()} == {2024}
