@@ -281,6 +281,12 @@ def payload_status(text: str, success: str = "REQUEST_SUCCEEDED") -> list[Gate]:
     ]
 
 
+def payloads_parse(text: str) -> list[Gate]:
+    """Payloads that are absent or no JSON document. The flatteners return no rows for them, so the
+    stored payloads are gated before they are flattened."""
+    return [Gate("payloads_parse", F.count_if(F.try_parse_json(F.col(text)).isNull()), "equal", 0)]
+
+
 def provenance_recorded(columns: Sequence[str]) -> list[Gate]:
     return [Gate(f"provenance_{c}", F.count_if(F.col(c).isNull()), "equal", 0) for c in columns]
 

@@ -350,6 +350,14 @@ def record_and_payload_gates(spark, sf):
     return shown(G.run_gates(df, gates))
 
 
+@query("J30", scalar_sql([("payloads_parse", "SELECT count(*) FROM events WHERE event_id%50=9 OR event_id%70=3", "o=0")]))
+def unparsed_payloads(spark, sf):
+    """Payloads of which some were cut off and some are absent."""
+    i = F.col("event_id")
+    record = F.concat(F.lit('{"values":['), i.cast("string"), F.when(i % 50 == 9, F.lit("")).otherwise(F.lit("]}")))
+    return shown(G.run_gates(table(spark, sf, "events").select(F.when(i % 70 != 3, record).alias("t")), G.payloads_parse("t")))
+
+
 @query(
     "J27",
     """SELECT o_orderpriority AS survey, CAST(3 AS BIGINT) AS checks, CAST(1+(CASE WHEN n>=3000 THEN 1 ELSE 0 END)+(CASE WHEN abs(s-0.33)<=0.005 THEN 1 ELSE 0 END) AS BIGINT) AS passed,
