@@ -76,6 +76,18 @@ def bootstrap_share(spark, sf):
     return _share(spark, sf, "bootstrap")
 
 
+@query("U1 U2 U3", share_sql("l_returnflag", f"w*{_FACTOR}", "4.0/160", count=160))
+def sdr_share_160(spark, sf):
+    """The number of replicates of the housing survey."""
+    return _share(spark, sf, "sdr", count=160)
+
+
+@query("U7", share_sql("l_returnflag", f"w*{_FACTOR}", "(1.0/998)", "mean.am", count=999))
+def bootstrap_share_999(spark, sf):
+    """The number of replicates of the survey of finances."""
+    return _share(spark, sf, "bootstrap", count=999)
+
+
 @query(
     "U2",
     f"""SELECT l_linestatus, CAST(r AS INTEGER) AS replicate, round(sum(wr*v)/sum(wr),6) AS mean, CAST(2*sum(wr) AS BIGINT) AS double_weight FROM (
