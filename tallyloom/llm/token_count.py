@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 #: Characters of text encoded together, and of one part of a long text.
 BATCH_CHARS = 1 << 18
 PART_CHARS = 1 << 16
+#: White-space runs from this length are encoded apart, as tiktoken's pattern matcher fails on very long ones.
+RUN_CHARS = 100_000
+#: The end of patterns that keep the last white character of a run for the text after it.
+RUN_RULE = r"|\s+(?!\S)|\s+"
 
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: White space as these patterns see it; Python's also holds the separators 1C to 1F.
+RUNS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
 
 
 def parts_of(text: str, most: int = PART_CHARS) -> Iterator[str]:
@@ -36,6 +42,38 @@ def parts_of(text: str, most: int = PART_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
+def ranks_of(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
+
+
+def rank_encoder(ranks: dict[bytes, int], pattern: str, special: dict[str, int] | None = None, run_chars: int = RUN_CHARS) -> Callable[[str], list[int]]:
+    """A function from a text to its token ids; special strings count as their tokens.
+
+    With patterns that end in ``RUN_RULE`` a white-space run is one piece, less its last character if
+    other text follows. Runs of ``run_chars`` and more are merged as such a piece, past the matcher.
+    """
+    import tiktoken
+
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special or {})
+    names = tuple(special or ())
+
+    def encode(text: str) -> list[int]:
+        ids: list[int] = []
+        at = 0
+        if len(text) >= run_chars and pattern.endswith(RUN_RULE):
+            for run in RUNS.finditer(text):
+                lo, hi = run.span()
+                if hi - lo >= run_chars:
+                    # A special string is taken out first, so a run before it ends like one at the text's end.
+                    end = hi if hi == len(text) or text.startswith(names, hi) else hi - 1
+                    ids += own.encode(text[at:lo], allowed_special="all")
+                    ids += own._encode_single_piece(text[lo:end])
+                    at = end
+        return ids + own.encode(text[at:], allowed_special="all")
+
+    return encode
+
+
 def encoder(vocabulary: bytes, kind: str, pattern: str | None = None, special: dict[str, int] | None = None) -> Callable[[list[str]], list[int]]:
     """A function from texts to numbers of tokens.
 
@@ -43,11 +81,8 @@ def encoder(vocabulary: bytes, kind: str, pattern: str | None = None, special: d
     ``json`` for the tokenizers library or ``model`` for sentencepiece.
     """
     if kind == "ranks":
-        import tiktoken
-
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
-        own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special or {})
-        return lambda texts: [len(own.encode(t, allowed_special="all")) for t in texts]
+        encode = rank_encoder(ranks_of(vocabulary), pattern, special)
+        return lambda texts: [len(encode(t)) for t in texts]
     if kind == "json":
         from tokenizers import Tokenizer
 

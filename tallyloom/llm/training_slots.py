@@ -12,7 +12,6 @@ whose payload holds its slots one after another, each of ``stride`` bytes: slot
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mixed, shuffle_partitions, stage, text_or_empty
-from .token_count import parts_of
+from .token_count import parts_of, rank_encoder, ranks_of
 
 SEQUENCE = 1024
 SLOTS = 256
@@ -79,18 +78,17 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
         from pyspark import TaskContext
 
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in shared.value.splitlines() if x)}
+        ranks = ranks_of(shared.value)
         kind = "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
         size = np.dtype(kind).itemsize
-        own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        ids_of = rank_encoder(ranks, pattern)
         pack = zstandard.ZstdCompressor(level=1).compress
         part, place = TaskContext.get().partitionId(), 0
 
         def encode(text: str) -> bytes:
-            ids = (own.encode_ordinary(piece) for piece in parts_of(text))
+            ids = (ids_of(piece) for piece in parts_of(text))
             return b"".join(np.fromiter(x, kind, len(x)).tobytes() for x in ids)
 
         for batch in batches:

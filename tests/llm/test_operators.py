@@ -173,6 +173,41 @@ def test_token_counts(docs, none):
         assert token_counts(none, P.path(path), **kw).count() == 0
 
 
+def test_long_white_runs(spark):
+    import json
+    import random
+
+    from tokenizers import Tokenizer
+
+    from tallyloom.llm.token_count import rank_encoder, ranks_of, token_counts
+    from tallyloom.llm.training_slots import sequences
+
+    path, n, special = P.path("byte_bpe_50k.tiktoken"), 1_500_000, {"<|endoftext|>": 50256}
+    with open(path, "rb") as f:
+        ranks = ranks_of(f.read())
+    tool = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    with open(P.path("byte_bpe_50k.json")) as f:
+        plain = Tokenizer.from_str(json.dumps(json.load(f) | {"added_tokens": []}))
+    ids = lambda t, x: x.encode(t, add_special_tokens=False).ids
+    blank, line = " " * n, "\n" * n
+    rows = list(enumerate([blank, line, f"one{blank}two{line}three <|endoftext|>", f"one{line}<|endoftext|>\t{blank}"]))
+    frame_ = frame(spark, rows)
+    got = {r.doc_id: r.n_tokens for r in token_counts(frame_, path, P.PATTERN, special).collect()}
+    assert got == {i: len(ids(t, tool)) for i, t in rows}
+    tokens = collections.Counter()
+    for r in sequences(frame_, path, P.PATTERN, 1 << 16).select("doc_id", "n_tokens").collect():
+        tokens[r.doc_id] += r.n_tokens
+    assert tokens == {i: len(ids(t, plain)) for i, t in rows}
+    # The same ids where the matcher holds: short runs taken apart, and one of half a million.
+    random.seed(1)
+    bits = [" ", "  ", "\n", "\n\n\n", "\t", "\r\n", "\xa0", "\u3000", "\x85", "\x1c", "\x1f", "a", "Word", "12", "'s", "!?", "ü", "語", "<|endoftext|>"]
+    texts = ["".join(random.choices(bits, k=random.randrange(1, 30))) for _ in range(5000)] + [f"a{' ' * 500_000}b", f"a{line[:500_000]}"]
+    for names, x in (({}, plain), (special, tool)):
+        for run_chars in (2, 3, 100_000):
+            encode = rank_encoder(ranks, P.PATTERN, names, run_chars)
+            assert [encode(t) for t in texts] == [y.ids for y in x.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_piece_codec(docs, none):
     import sentencepiece
 
