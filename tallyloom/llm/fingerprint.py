@@ -4,7 +4,9 @@ A rolling hash over the last seven bytes ends a chunk wherever it meets a trigge
 depend on nearby bytes only and survive edits elsewhere. Each chunk leaves one character, and the
 characters in order are the signature. The trigger's rarity is the block size. A fingerprint holds two
 signatures, at a block size that suits the length and at twice that, so that texts of up to about four
-times the length can be compared: signatures of equal block size are likened by edit distance.
+times the length can be compared: signatures of equal block size are likened by edit distance. The block
+size grows while it has more triggers than digits. Where the same few bytes make nearly all triggers, no
+block size suits; then every second, fourth, ... of them ends a chunk. So the digits cover the whole text.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from .common import block_count, id_back, id_key, mixed, stage, text_or_empty, u
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 WINDOW = 7
 LEAST_BLOCK = 2
-#: Chunks that the first signature has at most; the last takes the rest of the text.
+#: Chunks that a signature has at most.
 CHUNKS = 64
 #: Signatures count as alike only if they share this many characters in a row.
 COMMON = 3
@@ -71,13 +73,13 @@ def _digits(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.frombuffer(ALPHABET.encode(), np.uint8)[digit.astype(np.int64)]
 
 
-def _signatures(data: np.ndarray, stops: np.ndarray, of: np.ndarray, level: np.ndarray, at: np.ndarray, least: np.ndarray, most: int) -> list[str]:
+def _signatures(data: np.ndarray, stops: np.ndarray, of: np.ndarray, level: np.ndarray, at: np.ndarray, least: np.ndarray, every: np.ndarray) -> list[str]:
     """Signatures of texts that end at ``stops``. ``at`` are places just after a trigger, with their
-    text ``of`` and ``level``; those of the text's ``least`` level count, ``most - 1`` of them."""
+    text ``of`` and ``level``; of those of the text's ``least`` level one in ``every`` counts."""
     met = level >= least[of]
     ends, own = at[met], of[met]
     first = np.searchsorted(own, np.arange(len(stops)))
-    ends = np.union1d(ends[np.arange(len(ends)) - first[own] < most - 1], stops)
+    ends = np.union1d(ends[(np.arange(1, len(ends) + 1) - first[own]) % every[own] == 0], stops)
     shown = _digits(data, ends).tobytes().decode()
     cuts = np.searchsorted(ends, stops, "right").tolist()
     return [shown[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
@@ -99,14 +101,21 @@ def _together(texts: list[np.ndarray]) -> list[str]:
         level.append(own[hit])
     at, of, level = np.concatenate(at), np.concatenate(of), np.concatenate(level)
     # A trigger stays one at every smaller block size.
-    met = np.bincount(of * 65 + level, minlength=65 * len(texts)).reshape(-1, 65)[:, ::-1].cumsum(axis=1)[:, ::-1]
+    met = np.bincount(of * 66 + level, minlength=66 * len(texts)).reshape(-1, 66)[:, ::-1].cumsum(axis=1)[:, ::-1]
     least_level = LEAST_BLOCK.bit_length() - 1
     least = np.array([max(least_level, (-(-n // CHUNKS) - 1).bit_length()) for n in size.tolist()])
     while (low := (least > least_level) & (met[np.arange(len(texts)), least] < CHUNKS // 2)).any():
         least = least - low
-    first = _signatures(data, stops, of, level, at, least, CHUNKS)
-    second = _signatures(data, stops, of, level, at, least + 1, CHUNKS // 2)
-    return [f"{1 << e}:{x}:{y}" for e, x, y in zip(least.tolist(), first, second, strict=True)]
+    # Repetitive texts can have more triggers than digits. No hash has a level of 65, so this ends.
+    while (high := met[np.arange(len(texts)), least] >= CHUNKS).any():
+        least = least + high
+    before = met[np.arange(len(texts)), least - 1]
+    thinned = (least > least_level) & (met[np.arange(len(texts)), least] < CHUNKS // 4) & (before >= CHUNKS)
+    least = least - thinned
+    every = np.array([1 << (n // CHUNKS).bit_length() if t else 1 for n, t in zip(before.tolist(), thinned, strict=True)])
+    first = _signatures(data, stops, of, level, at, least, every)
+    second = _signatures(data, stops, of, level, at, least + ~thinned, every * (1 + thinned))
+    return [f"{m << e}:{x}:{y}" for e, m, x, y in zip(least.tolist(), every.tolist(), first, second, strict=True)]
 
 
 def fingerprints(texts: list[np.ndarray]) -> list[str]:

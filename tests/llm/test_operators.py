@@ -231,6 +231,33 @@ def test_piece_codec(docs, none):
     assert encoded(none, P.path("piece_bpe_32k.model")).count() == 0
 
 
+def test_fingerprints_cover_repetitive_texts():
+    from tallyloom.llm.fingerprint import CHUNKS, fingerprint, likeness
+
+    def log(n, seed):
+        rng = np.random.default_rng(seed)
+        return [f"2024-01-{d:02d} INFO worker {w} done in {ms} ms\n" for d, w, ms in zip(rng.integers(1, 29, n), rng.integers(0, 99, n), rng.integers(0, 9999, n))]
+
+    prints = lambda *texts: [fingerprint(np.frombuffer("".join(t).encode(), np.uint8)) for t in texts]
+    line, other = ["the same line of a log, again and again\n"] * 4000, ["another line that is repeated just so..\n"] * 2000
+    one_letter = ["x"] * 100_000
+    for n in (500, 5000, 50_000):
+        whole = log(n, 1)
+        a, b = prints(whole, whole[: n // 2] + log(n - n // 2, 2))
+        assert 0.4 < likeness([a], [b])[0] < 0.7
+    a, b, c = prints(line, line[:2000] + other, [*line[:1500], "an edit", *line[1500:]])
+    assert 0.4 < likeness([a], [b])[0] < 0.7 and likeness([a], [c])[0] > 0.8
+    for f in prints(line, line[:2000] + other, one_letter, log(5000, 1), ["ab"] * 40, ["ab\n"] * 31_337):
+        assert all(0 < len(x) <= CHUNKS for x in f.split(":")[1:])
+    # A change at any place changes both signatures' digits there alone.
+    whole = "".join(line)
+    for share in (0.1, 0.5, 0.9):
+        at = int(share * len(whole))
+        (_, x, _), (_, y, _) = (f.split(":") for f in prints(whole, whole[:at] + "#" + whole[at + 1 :]))
+        same = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), len(x))
+        assert abs(same / len(x) - share) < 0.1
+
+
 def test_fingerprints(docs, none):
     from tallyloom.llm.fingerprint import edited_likeness, fingerprint, likeness, signature_likeness
 
