@@ -102,3 +102,11 @@ def test_series_points_and_vintages(spark):
     ]}
     rows = statjson.flatten_vintage_observations(docs(spark, vintages), "payload")
     assert [r["value"] for r in statjson.as_of_vintage(rows, "2024-08-01").collect()] == ["2"]
+
+
+def test_united_series_of_all_event_types(spark, sf):
+    from tallyloom.workload import load_all
+
+    types = {r[0] for r in spark.read.parquet(f"{sf}/events.parquet").select("event_type").distinct().collect()}
+    rows = load_all()["united_series_all"].run(spark, sf).select("series_id").distinct().collect()
+    assert {r["series_id"] for r in rows} == types and len(types) == 5
