@@ -144,7 +144,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows
     """A model of ``label`` from the statistics of labelled texts outside the held-out third.
 
     Labels are sampled down to about ``train_rows`` by a hash of the id, which bounds both what is
-    broadcast and what comes to the driver. An id with two different labels teaches nothing.
+    broadcast and what comes to the driver. An id with two different labels teaches nothing, and one
+    with several rows teaches one of them, the text with the smallest digest.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("other"))
     known = known.filter("y = other").filter(~held_out())
@@ -160,10 +161,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows
             yield pd.DataFrame({"doc_id": frame["doc_id"], "y": frame["y"], "x": x})
 
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", text_or_empty().alias("text"))
-    sample = rows.mapInPandas(run, "doc_id long, y double, x array<double>").toPandas().sort_values(["doc_id", "y"])
-    order = sorted(range(len(sample)), key=lambda i: (sample["doc_id"].iloc[i], tuple(sample["x"].iloc[i])))
-    x = np.array([sample["x"].iloc[i] for i in order], float).reshape(len(order), len(FEATURES))
-    return fit_trees(x, sample["y"].to_numpy(float)[order])
+    rows = rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.sha2("text", 256).alias("digest"), "text"))["text"].alias("text"))
+    sample = rows.mapInPandas(run, "doc_id long, y double, x array<double>").toPandas().sort_values("doc_id")
+    x = np.array(sample["x"].to_list(), float).reshape(len(sample), len(FEATURES))
+    return fit_trees(x, sample["y"].to_numpy(float))
 
 
 def scored(docs: DataFrame, model: Trees, keep_text: bool = False) -> DataFrame:

@@ -173,6 +173,23 @@ def test_token_counts(docs, none):
         assert token_counts(none, P.path(path), **kw).count() == 0
 
 
+def test_quality_sample_has_one_row_per_id(spark, monkeypatch):
+    from tallyloom.llm import quality_model
+
+    taken = []
+    monkeypatch.setattr(quality_model, "fit_trees", lambda x, y: taken.append((x, y)))
+    digest = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    rows = [(i, f"text {k} of {i}" + " more" * k) for i in range(60) for k in range(200 if i < 6 else 1)] + [(60, None), (60, "")]
+    first = {}
+    for i, t in rows:
+        first[i] = min(first.get(i, t), t, key=digest)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(61)], "doc_id long, quality int")
+    quality_model.learn(frame(spark, rows), labels)
+    quality_model.learn(frame(spark, list(first.items())), labels)
+    (x, y), (x1, y1) = taken
+    assert 20 < len(y) == len(y1) <= 61 and (y == y1).all() and (x == x1).all()
+
+
 def test_long_white_runs(spark):
     import json
     import random
