@@ -8,6 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contamination
 from .fingerprint import edited_likeness
 from .fixity import audit, warc_record
 from .mixing import curriculum
@@ -96,11 +97,16 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(docs, tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_training_shards, op2_fixity_audit, op3_quality_model, op4_curriculum_mix, op5_token_counts,
         op6_similar_groups, op7_certified_rules, op8_repeated_bytes, op9_chunk_fingerprints, op10_piece_codec,
+        op11_decontamination,
     )
 }
 
@@ -110,6 +116,9 @@ _DAMAGED = "(CASE WHEN page_id % 997 = 5 THEN '~' || substr(html, 2) ELSE html E
 _LEVELS = ", ".join(f"bool_and(same) OVER (PARTITION BY \"offset\" >> {16 + 4 * k}) AS e{k + 1}" for k in range(8))
 _TOP = "(SELECT max(k) FROM (SELECT CASE WHEN (SELECT max(\"offset\") FROM o) >> (16 + 4 * k) > 0 THEN k + 2 ELSE 1 END AS k FROM range(8) t(k)))"
 
+#: Words of the contracts of op11 and op12.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES: dict[str, str] = {
     "op2_fixity_audit": f"""WITH p AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html="html")} AS r FROM pages),
  q AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html=_DAMAGED)} AS r FROM pages WHERE page_id % 1009 <> 7
@@ -132,4 +141,15 @@ ORACLES: dict[str, str] = {
    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
  c AS (SELECT doc_id, size, n, target, [greatest(0, least(size, CAST(round(target) AS BIGINT) - (n * k + before))) FOR k IN [0, 1, 2]] AS words FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source)
  SELECT doc_id, size, n AS source_size, target, CAST(list_sum(words) AS BIGINT) AS taken, CAST(len([x FOR x IN words IF x > 0]) AS BIGINT) AS n_copies FROM c""",
+    "op11_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+ b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+ g AS (SELECT DISTINCT item, n, unnest([array_to_string(w[p:p + n - 1], ' ') FOR p IN range(1, len(w) - n + 2)]) AS gram
+  FROM (SELECT *, least(len(w), 10) AS n FROM b) WHERE n > 0),
+ o AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS p, unnest([array_to_string(w[p:p + n - 1], ' ') FOR p IN range(1, len(w) - n + 2)]) AS gram
+  FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+ h AS (SELECT o.r, o.p, o.n, g.item FROM o JOIN g USING (n, gram)),
+ c AS (SELECT r, count(DISTINCT q) AS hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM h) GROUP BY r),
+ t AS (SELECT r, count(*) AS items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, hit IS NOT NULL AS contaminated FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)""",
 }
