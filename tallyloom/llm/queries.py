@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .decontamination import contamination
 from .fingerprint import edited_likeness
 from .fixity import audit, warc_record
+from .importance import importance_ranks
 from .mixing import curriculum
 from .ngram_join import similar_groups
 from .piece_codec import encoded
@@ -101,12 +102,17 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_ranks(docs, table(spark, sf_dir, "benchmark").select("text")).drop("digest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_training_shards, op2_fixity_audit, op3_quality_model, op4_curriculum_mix, op5_token_counts,
         op6_similar_groups, op7_certified_rules, op8_repeated_bytes, op9_chunk_fingerprints, op10_piece_codec,
-        op11_decontamination,
+        op11_decontamination, op12_importance_draw,
     )
 }
 
@@ -119,6 +125,15 @@ _TOP = "(SELECT max(k) FROM (SELECT CASE WHEN (SELECT max(\"offset\") FROM o) >>
 #: Words of the contracts of op11 and op12.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: CRC-32 of byte strings in SQL: a table of 256 registers, then one byte of every string in each round.
+_CRC_TABLE = "crc0 AS (SELECT CAST(range AS BIGINT) AS i, CAST(range AS BIGINT) AS v FROM range(256)), " + ", ".join(
+    f"crc{k + 1} AS (SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END AS v FROM crc{k})" for k in range(8)
+)
+_CRC_ROUNDS = """rounds(f, hx, i, c) AS (SELECT f, hex(encode(f)), 1, CAST(4294967295 AS BIGINT) FROM strings
+  UNION ALL SELECT f, hx, rounds.i + 2, xor(c >> 8, v) FROM rounds JOIN crc8
+   ON crc8.i = xor(c & 255, (strpos('0123456789ABCDEF', substr(hx, rounds.i, 1)) - 1) * 16 + strpos('0123456789ABCDEF', substr(hx, rounds.i + 1, 1)) - 1) WHERE rounds.i < strlen(hx)),
+ crc AS (SELECT f, xor(c, 4294967295) AS c FROM rounds WHERE i > strlen(hx))"""
+
 ORACLES: dict[str, str] = {
     "op2_fixity_audit": f"""WITH p AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html="html")} AS r FROM pages),
  q AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html=_DAMAGED)} AS r FROM pages WHERE page_id % 1009 <> 7
@@ -152,4 +167,20 @@ ORACLES: dict[str, str] = {
  t AS (SELECT r, count(*) AS items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, hit IS NOT NULL AS contaminated FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)""",
+    "op12_importance_draw": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+ b AS (SELECT {_WORDS} AS w FROM benchmark),
+ df AS (SELECT r, unnest(list_concat(w, [w[p] || ' ' || w[p + 1] FOR p IN range(1, len(w))])) AS f FROM d),
+ bf AS (SELECT unnest(list_concat(w, [w[p] || ' ' || w[p + 1] FOR p IN range(1, len(w))])) AS f FROM b),
+ strings AS (SELECT f FROM df UNION SELECT f FROM bf), {_CRC_TABLE}, {_CRC_ROUNDS},
+ k AS (SELECT f, c % 10000 AS bucket FROM crc),
+ s AS (SELECT bucket, count(*) AS s FROM df JOIN k USING (f) GROUP BY bucket),
+ t AS (SELECT bucket, count(*) AS t FROM bf JOIN k USING (f) GROUP BY bucket),
+ n AS (SELECT CAST((SELECT coalesce(sum(s), 0) FROM s) AS DOUBLE) AS a, CAST((SELECT coalesce(sum(t), 0) FROM t) AS DOUBLE) AS b),
+ g AS (SELECT bucket, CAST(floor(1000.0::DOUBLE * ln((coalesce(t, 0)::DOUBLE + 1) * (n.a + 10000) / ((s::DOUBLE + 1) * (n.b + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket), n),
+ m AS (SELECT r, CAST(count(*) AS BIGINT) AS n, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM df JOIN k USING (f) JOIN g USING (bucket) GROUP BY r),
+ h AS (SELECT d.*, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+  CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)::DOUBLE AS h FROM d LEFT JOIN m USING (r)),
+ x AS (SELECT *, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM h),
+ y AS (SELECT *, len(w) >= 20 AS able, row_number() OVER (PARTITION BY len(w) >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place FROM x)
+ SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= (SELECT count(*) FROM y WHERE able) * 25 // 100 THEN place END AS rank FROM y""",
 }
