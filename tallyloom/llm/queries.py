@@ -8,6 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversation_repair import repair_of_damaged
 from .decontamination import contamination
 from .fingerprint import edited_likeness
 from .fixity import audit, warc_record
@@ -107,12 +108,16 @@ def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_ranks(docs, table(spark, sf_dir, "benchmark").select("text")).drop("digest")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_of_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_training_shards, op2_fixity_audit, op3_quality_model, op4_curriculum_mix, op5_token_counts,
         op6_similar_groups, op7_certified_rules, op8_repeated_bytes, op9_chunk_fingerprints, op10_piece_codec,
-        op11_decontamination, op12_importance_draw,
+        op11_decontamination, op12_importance_draw, op13_conversation_repair,
     )
 }
 
@@ -134,6 +139,11 @@ _CRC_ROUNDS = """rounds(f, hx, i, c) AS (SELECT f, hex(encode(f)), 1, CAST(42949
    ON crc8.i = xor(c & 255, (strpos('0123456789ABCDEF', substr(hx, rounds.i, 1)) - 1) * 16 + strpos('0123456789ABCDEF', substr(hx, rounds.i + 1, 1)) - 1) WHERE rounds.i < strlen(hx)),
  crc AS (SELECT f, xor(c, 4294967295) AS c FROM rounds WHERE i > strlen(hx))"""
 
+#: In op13 a state's best path is its cost in nine digits and then its audit, so the least string is the answer.
+_GROW = "lpad(CAST(CAST(substr({v}, 1, 9) AS BIGINT) + {k} AS VARCHAR), 9, '0') || substr({v}, 10) || '{l}'"
+_D, _K, _R, _I = (lambda v, k=k, l=l: _GROW.format(v=v, k=k, l=l) for k, l in (("3", "D"), ("k", "K"), ("2 + k", "R"), ("2", "I")))
+_REPAIR_STEP = f"""SELECT c, p, z, s, least(u, {_I("z")}, {_I("s")}, {_I("a")}) AS u, least(a, {_I("u")}, {_I(f"({_I('z')})")}, {_I(f"({_I('s')})")}) AS a FROM"""
+
 ORACLES: dict[str, str] = {
     "op2_fixity_audit": f"""WITH p AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html="html")} AS r FROM pages),
  q AS (SELECT page_id AS id, {_RECORD.format(id="page_id", html=_DAMAGED)} AS r FROM pages WHERE page_id % 1009 <> 7
@@ -183,4 +193,32 @@ ORACLES: dict[str, str] = {
  x AS (SELECT *, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM h),
  y AS (SELECT *, len(w) >= 20 AS able, row_number() OVER (PARTITION BY len(w) >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place FROM x)
  SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= (SELECT count(*) FROM y WHERE able) * 25 // 100 THEN place END AS rank FROM y""",
+    "op13_conversation_repair": f"""WITH RECURSIVE ids AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+ o AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(v.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS f
+  FROM conversations v JOIN ids ON v.conv_id IS NOT DISTINCT FROM ids.conv_id),
+ strings AS (SELECT DISTINCT f FROM o), {_CRC_TABLE}, {_CRC_ROUNDS},
+ m AS (SELECT o.*, crc.c % 20 AS luck FROM o JOIN crc USING (f)),
+ e AS (SELECT c, turn, CASE luck WHEN 4 THEN 'user' ELSE role END AS role, CASE luck WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE luck WHEN 3 THEN [1, 2] ELSE [1] END) AS time FROM m WHERE luck <> 0),
+ w AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text), time) AS p FROM e),
+ x AS (SELECT *, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY c ORDER BY p) AS j, row_number() OVER (PARTITION BY c, role, text ORDER BY p) AS seen FROM w),
+ y AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1 WHEN seen > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 3 ELSE 0 END AS fault FROM x),
+ q AS (SELECT *, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS k, fault IN (0, 3) AS ok FROM y),
+ r AS ({_REPAIR_STEP} (SELECT DISTINCT c, 1 AS p, '000000000' AS z, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM q)
+  UNION ALL {_REPAIR_STEP} (SELECT r.c, r.p + 1 AS p, {_D("z")} AS z,
+   least({_D("s")}, CASE WHEN ok AND i = 's' THEN {_K("z")} END) AS s,
+   least({_D("u")}, CASE WHEN ok THEN least({_R("z")}, {_R("s")}, {_R("a")}) END, CASE WHEN ok AND i = 'u' THEN least({_K("z")}, {_K("s")}, {_K("a")}) END) AS u,
+   least({_D("a")}, CASE WHEN ok THEN {_R("u")} END, CASE WHEN ok AND i = 'a' THEN {_K("u")} END) AS a
+   FROM r JOIN q ON q.c = r.c AND q.p = r.p)),
+ b AS (SELECT c, least(z, a) AS best FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY p DESC) AS last FROM r) WHERE last = 1),
+ l AS (SELECT c, unnest(range(1, length(best) - 8)) AS n, substr(best, 9 + unnest(range(1, length(best) - 8)), 1) AS act FROM b),
+ a1 AS (SELECT *, sum(CASE WHEN act <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY c ORDER BY n) AS p, sum(CASE WHEN act <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY c ORDER BY n) AS pos FROM l),
+ a2 AS (SELECT a1.c, n, act, pos, CASE WHEN act = 'I' THEN NULL ELSE role END AS role, CASE WHEN act = 'I' THEN '' ELSE text END AS text FROM a1 LEFT JOIN q ON q.c = a1.c AND q.p = a1.p WHERE act <> 'D'),
+ a3 AS (SELECT *, max(CASE WHEN pos = 1 AND act = 'K' AND substr(role, 1, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c) AS led FROM a2),
+ t AS (SELECT c, string_agg(CASE WHEN act = 'K' THEN role WHEN (pos - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY n) AS told FROM a3 GROUP BY c),
+ g AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+  count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (p > 1 AND j || i NOT IN ('su', 'ua', 'au')) AS illegal FROM q GROUP BY c)
+ SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(CAST(substr(best, 1, 9) AS BIGINT), 0) AS cost, coalesce(substr(best, 10), '') AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+  FROM ids LEFT JOIN g USING (c) LEFT JOIN b USING (c) LEFT JOIN t USING (c)""",
 }
