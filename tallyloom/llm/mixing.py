@@ -57,7 +57,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, repeats:
         }
     )
     # The first source that its share does not fill sets the level for itself and all after it.
-    share = F.col("words").cast("double") / F.col("weights").cast("double")
+    # Weights are left until the last source; only without sources there are none.
+    share = F.try_divide(F.col("words").cast("double"), F.col("weights").cast("double"))
     level = F.min(F.when(share <= F.col("fill"), F.struct("fill", share.alias("level")))).over(everywhere)["level"]
     target = F.least(F.col("cap").cast("double"), level * F.col("w").cast("double"))
     return rows.select("source", "source_size", "weight_class", target.alias("target"))
@@ -95,7 +96,7 @@ def curriculum(
 
     A source gives its documents in the order of a hash of the id, over and over, until its target
     (in whole words) is reached; the last copy may give only its first words. A null text and one of
-    blanks have no words and no copies. Rows that repeat an id follow one another by text. ``digits``
+    blanks have no words and no copies, and a source of such texts has the target 0. Rows that repeat an id follow one another by text. ``digits``
     hexadecimal digits of the hash make the buckets of the running sum.
     """
     names = [c for c in docs.columns if keep_text or c != "text"]
@@ -120,7 +121,8 @@ def curriculum(
     def copy(n: Column) -> Column:
         begin = F.col("__source_size") * n + F.col("__before")
         words = F.greatest(F.lit(0), F.least(F.col("__size"), whole - begin))
-        part = begin.cast("double") / F.col("__target")
+        # A source without words has the target 0 and no copies.
+        part = F.try_divide(begin.cast("double"), F.col("__target"))
         position = F.lit(None).cast("double")
         for i, s in enumerate(schedules):
             position = F.when(F.col("__class") % len(schedules) == i, moment(part, s)).otherwise(position)
