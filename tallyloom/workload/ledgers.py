@@ -10,6 +10,7 @@ from ..operators.ledger import Ledger
 from ..operators.joins import with_one_row
 from ..plans.scratch import new_scratch_path
 from ..streaming.ingest import ingest_releases, release_stream
+from ..streaming.pieces import file_stream, ingest_pieces, waiting_releases
 from .contracts import shown
 from .registry import query, table
 
@@ -225,3 +226,35 @@ def recorded_checks(spark, sf):
     ledger = Ledger(spark, new_scratch_path(spark, "ledger"))
     ledger.promote(releases(spark, sf), [G.row_minimum(24), G.non_empty()], "first", 1)
     return shown(ledger.checks().drop("load")).select(*KEYS, "gate", "status", "observed")
+
+
+_MEMBERS = ["m0", "m1", "m2"]
+_PIECES = "(SELECT event_type AS survey, CAST(year(ts) AS INTEGER) AS year, event_id, user_id, month(ts)%3 AS m FROM events)"
+_WHOLE = f"(SELECT survey, year FROM {_PIECES} WHERE survey<>'error' OR m<>2 GROUP BY 1,2 HAVING count(DISTINCT m)=3)"
+
+
+@query(
+    "S1 K5 J29",
+    f"""SELECT survey, year, {digest_sql('sha256')} AS digest, 'promoted' AS status, 'new' AS change, n_rows, CAST(0 AS BIGINT) AS waiting FROM ({_EPRINT}) JOIN {_WHOLE} USING (survey, year)
+    UNION ALL SELECT survey, year, NULL, NULL, NULL, NULL, CAST(3-count(DISTINCT m) AS BIGINT) FROM {_PIECES} WHERE survey<>'error' OR m<>2 GROUP BY 1,2 HAVING count(DISTINCT m)<3""",
+)
+def pieced_releases(spark, sf):
+    """Events as releases of three member files each, which arrive in three runs; a survey's last member never comes."""
+    root = new_scratch_path(spark, "pieces")
+    ledger = Ledger(spark, f"{root}/ledger")
+    rows = table(spark, sf, "events").select(
+        F.col("event_type").alias("survey"), F.year("ts").alias("year"), F.concat(F.lit("m"), F.month("ts") % 3).alias("member"), "event_id", "user_id"
+    )
+    part = lambda name: F.regexp_extract("path", f"{name}=([^/]*)", 1)
+    for member in _MEMBERS:
+        # One file per member: rows of a member meet in one task.
+        arriving = rows.filter((F.col("member") == member) & ~((F.col("survey") == "error") & (F.col("member") == "m2")))
+        arriving.repartition("survey", "year", "member").write.mode("append").partitionBy("survey", "year", "member").parquet(f"{root}/in")
+        files = file_stream(spark, f"{root}/in", part("survey"), part("year"), part("member"), glob="part-*")
+        read = lambda s, paths: s.read.parquet(*paths).select("event_id", "user_id")
+        ingest_pieces(files, ledger, [G.non_empty(), G.key_non_null(["event_id"])], f"{root}/checkpoint", _MEMBERS, read).awaitTermination()
+    whole = ledger.releases().select(*KEYS, "digest", "status", "change", "n_rows", F.lit(0).cast("long").alias("waiting"))
+    missing = waiting_releases(spark, f"{root}/checkpoint", _MEMBERS).select(
+        *KEYS, *[F.lit(None).cast("string").alias(c) for c in ("digest", "status", "change")], F.lit(None).cast("long").alias("n_rows"), F.size("missing").cast("long").alias("waiting")
+    )
+    return whole.unionByName(missing)
