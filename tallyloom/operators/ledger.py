@@ -4,13 +4,15 @@ Layout under one root, every directory written by one load:
 
     data/load=<id>/survey=<s>/year=<y>/part-*      release rows
     ledger/artifacts/load=<id>/                    one row per stored artifact
+    ledger/files/load=<id>/                        one row per stored file, with bytes and SHA-256
     ledger/checks/load=<id>/                       one row per gate
     ledger/schemas/load=<id>/                      the columns of the stored rows
     ledger/releases/load=<id>/                     one row per release, written last
 
 Readers find data only through ``ledger/releases``. Data lands first and the ledger row last, so
 a load that dies in between leaves nothing that a reader can see, and running it again under
-the same id overwrites its own directories.
+the same id overwrites its own directories. A release whose content is the current one's already is
+recorded, and its second copy goes: equal content is stored once.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import file_errors, list_files, with_digests
 from .gates import FAIL, GATE_COLUMNS, Gate, gates_passed, merge_gates, run_gates
 from .joins import missing_years
 
@@ -39,15 +42,9 @@ RELEASES_SCHEMA = (
 
 
 def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Name, bytes and SHA-256 of each file. For artifacts, which are files below 2 GB; large
-    tables are fingerprinted by ``table_fingerprint``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
-        "path",
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    """Name, bytes and SHA-256 of each file, of any size; files are read in pieces."""
+    files = with_digests(list_files(spark, path))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), "path", "bytes", "sha256")
 
 
 def row_code(columns: Sequence[str]) -> Column:
@@ -240,6 +237,10 @@ class Ledger:
             "survey string, year int, digest string, role string, bytes bigint, sha256 string, load string",
         )
 
+    def files(self) -> DataFrame:
+        """Every file that a load stored, by its path below the root."""
+        return self._read("files", "survey string, year int, path string, bytes bigint, sha256 string, load string")
+
     def current(self, keys: Sequence[str] = ("survey",)) -> DataFrame:
         return current_releases(self.releases(), keys)
 
@@ -265,7 +266,10 @@ class Ledger:
         content is an error. Without ``seq`` the load comes after all others of the ledger.
         """
         keys = ["survey", "year"]
+        if not gates and not further:
+            raise ValueError("a load needs gates: without any nothing says that its releases are sound")
         if self._exists(self._dir("releases", load)):
+            self._drop_copies(load)
             return self._recorded(df, load, role)
         if seq is None:
             newest = self.releases().agg(F.max("seq").alias("s")).first()["s"]
@@ -291,6 +295,8 @@ class Ledger:
         artifacts.write.mode("overwrite").parquet(self._dir("artifacts", load))
         artifacts = self.spark.read.parquet(self._dir("artifacts", load))
 
+        self._file_rows(load).write.mode("overwrite").parquet(self._dir("files", load))
+
         # Earlier loads only: a load that runs again must not see its own row.
         earlier = self.releases().filter(F.col("load") != F.lit(load))
         known = current_releases(earlier, keys).select(*keys, "digest")
@@ -300,7 +306,7 @@ class Ledger:
         verdict = gates_passed(checks, keys).select(*keys, "passed")
         rows = detect_revision(new, known).join(verdict, keys, "left")
         status = (
-            F.when(~F.coalesce("passed", F.lit(True)), F.lit(QUARANTINED))
+            F.when(~F.coalesce("passed", F.lit(False)), F.lit(QUARANTINED))
             .when(F.col("change") == "unchanged", F.lit(UNCHANGED))
             .otherwise(F.lit(PROMOTED))
         )
@@ -308,8 +314,32 @@ class Ledger:
             *keys, "digest", "release_id", status.alias("status"), "change", "n_rows", F.lit(seq).cast("bigint").alias("seq")
         )
         rows.write.mode("overwrite").parquet(self._dir("releases", load))
+        self._drop_copies(load)
         return self.releases().filter(F.col("load") == F.lit(load))
 
+    def _file_rows(self, load: str) -> DataFrame:
+        """``survey, year, path, bytes, sha256`` of the files that a load has now."""
+        data_dir = self._dir("data", load)
+        files = with_digests(list_files(self.spark, data_dir, "part-*"))
+        # A partition's folder names its release, in the escaped form of Hive paths.
+        value = lambda c: F.try_url_decode(F.replace(F.regexp_extract("path", f"/{c}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+        survey = F.when(value("survey") != "__HIVE_DEFAULT_PARTITION__", value("survey"))
+        return files.select(survey.alias("survey"), value("year").try_cast("int").alias("year"), self._below("path").alias("path"), "bytes", "sha256")
+
+    def _below(self, path: str) -> Column:
+        """A path from the ledger's data folder on, whatever the store calls what stands before it."""
+        return F.regexp_extract(path, "/(data/load=[^/]*/.*)$", 1)
+
+    def _drop_copies(self, load: str) -> None:
+        """Remove what a load stored of releases that were current already; their first copy stays."""
+        again = self.releases().filter((F.col("load") == F.lit(load)) & (F.col("status") == UNCHANGED)).select("survey", "year")
+        paths = self.files().filter(F.col("load") == F.lit(load)).join(again, ["survey", "year"], "left_semi")
+        jvm = self.spark.sparkContext._jvm
+        # One folder per release of the load.
+        for row in paths.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect():
+            target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{row['folder']}")
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
     def _recorded(self, df: DataFrame, load: str, role: str) -> DataFrame:
         """The ledger rows of a load that is there already, if its content is that of ``df``."""
         keys = ["survey", "year"]
@@ -383,5 +413,26 @@ class Ledger:
         return scrub(promoted, artifacts, actual, self.current().select("survey", "year", "release_id", "digest"))
 
 
+    def scrub_files(self) -> DataFrame:
+        """``error, survey, year, path`` of stored files that differ from the ledger in bytes or SHA-256, are lost or
+        are not recorded.
+
+        Files of promoted releases are compared. A file in the folder of such a load that no row names is
+        unrecorded; loads that the ledger does not know are not looked at.
+        """
+        promoted = self.releases().filter(F.col("status") == PROMOTED).select("survey", "year", "load")
+        recorded = self.files().join(promoted, ["survey", "year", "load"], "left_semi")
+        if not self._exists(f"{self.root}/data"):
+            there = self.spark.createDataFrame([], "path string, bytes bigint, sha256 string")
+        else:
+            listed = list_files(self.spark, f"{self.root}/data", "part-*").withColumn("load", F.regexp_extract("path", "/load=([^/]*)/", 1))
+            # Copies of releases that are not promoted are known, so they are no strangers.
+            others = self.files().join(promoted, ["survey", "year", "load"], "left_anti").select(F.col("path").alias("below"))
+            listed = listed.join(promoted.select("load").distinct(), "load", "left_semi").withColumn("below", self._below("path"))
+            there = with_digests(listed.join(others, "below", "left_anti")).select(F.col("below").alias("path"), "bytes", "sha256")
+        names = recorded.select("path", "survey", "year")
+        return file_errors(recorded, there).join(names, "path", "left").select("error", "survey", "year", "path")
+
+
 def failed_gates(checks: DataFrame) -> DataFrame:
     return checks.filter(F.col("status") == FAIL)

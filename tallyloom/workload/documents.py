@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import catalog, webpages
+from ..operators.catalog_index import CatalogIndex
+from ..operators.gates import non_empty
+from ..operators.ledger import Ledger
 from ..operators.webpages import LinkRole
 from ..plans.scratch import new_scratch_path
 from ..sources.delimited import file_inventory
@@ -236,3 +239,32 @@ def catalog_search(spark, sf):
 def catalog_search_mixed(spark, sf):
     hits = catalog.search_catalog(variables(spark, sf), _documents(spark, sf), "O", 30)
     return hits.select("kind", F.coalesce("name", "role").alias("name"))
+
+
+_LEDGER_HITS = f"""d AS (SELECT 'document' AS kind, source AS survey, lang AS name, doc_id||'.txt' AS source_file, {_SNIP} AS snippet,
+    row_number() OVER (ORDER BY source, 2020+doc_id%2 DESC, lang, doc_id||'.txt') rn FROM documents WHERE contains(lower(text),'the '))"""
+
+
+@query(
+    "K8 K9 K11 K12",
+    f"""WITH {_LEDGER_HITS} SELECT 'the ' AS wanted, kind, survey, name, source_file, snippet FROM d WHERE rn<=25
+    UNION ALL SELECT 'NATION', 'variable', table_name, column_name, table_name||'-2024.parquet', '' FROM information_schema.columns WHERE table_name IN ('customer','supplier') AND contains(lower(column_name),'nation')
+    UNION ALL SELECT 'all', 'variable', table_name, column_name, table_name||'-2024.parquet', '' FROM information_schema.columns WHERE table_name IN ('customer','supplier')""",
+)
+def ledger_catalog_search(spark, sf):
+    """Documents and tables go to a ledger, the catalog follows it, and searches go through its postings."""
+    ledger = Ledger(spark, new_scratch_path(spark, "catalog"))
+    index = CatalogIndex(ledger)
+    docs = table(spark, sf, "documents").select(
+        F.col("source").alias("survey"), (2020 + F.col("doc_id") % 2).cast("int").alias("year"), F.col("lang").alias("document_role"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_file"), F.col("text").alias("content"),
+    )
+    ledger.promote(docs, [non_empty()], "documents")
+    index.update()
+    for name in ("customer", "supplier"):
+        rows = table(spark, sf, name).select("*", F.lit(name).alias("survey"), F.lit(2024).alias("year"))
+        ledger.promote(rows, [non_empty()], name)
+    index.update()
+    shown = lambda wanted, hits: hits.select(F.lit(wanted).alias("wanted"), "kind", "survey", F.coalesce("name", "role").alias("name"), "source_file", F.coalesce("snippet", F.lit("")).alias("snippet"))
+    every = index.variables().select(F.lit("all").alias("wanted"), F.lit("variable").alias("kind"), "survey", F.col("variable_name").alias("name"), "source_file", F.lit("").alias("snippet"))
+    return shown("the ", index.search("the ", 25)).unionAll(shown("NATION", index.search("NATION", 100).filter("kind = 'variable'"))).unionAll(every)

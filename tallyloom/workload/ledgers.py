@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gates as G
 from ..operators import ledger as L
+from ..operators.files import list_files
 from ..operators.ledger import Ledger
 from ..operators.joins import with_one_row
 from ..plans.scratch import new_scratch_path
@@ -258,3 +259,18 @@ def pieced_releases(spark, sf):
         *KEYS, *[F.lit(None).cast("string").alias(c) for c in ("digest", "status", "change")], F.lit(None).cast("long").alias("n_rows"), F.size("missing").cast("long").alias("waiting")
     )
     return whole.unionByName(missing)
+
+
+@query(
+    "K1 K5 K6",
+    f"""SELECT survey, year, CAST(CASE WHEN n_rows<24 OR survey='src2' THEN 2 ELSE 1 END AS BIGINT) AS copies, true AS recorded, CAST(0 AS BIGINT) AS errors FROM ({_PRINT})""",
+)
+def stored_files(spark, sf):
+    """Loads that hold files of each release after two loads, whether the ledger has their digests, and file errors.
+    Content that was current already has one copy."""
+    ledger = _two_loads(spark, sf)
+    named = lambda c: F.regexp_extract("path", f"/{c}=([^/]*)/", 1)
+    found = list_files(spark, f"{ledger.root}/data", "part-*").select(named("survey").alias("survey"), named("year").cast("int").alias("year"), named("load").alias("load"))
+    copies = found.groupBy(*KEYS).agg(F.countDistinct("load").alias("copies"))
+    recorded = ledger.files().groupBy(*KEYS).agg(F.bool_and((F.col("bytes") > 0) & F.col("sha256").rlike("^[0-9a-f]{64}$")).alias("recorded"))
+    return with_one_row(copies.join(recorded, KEYS), ledger.scrub_files().agg(F.count(F.lit(1)).alias("errors")))
