@@ -91,8 +91,9 @@ class Normalizer:
     """Normalised bytes of a text and, for each of them and the end, its place in the source."""
 
     def __init__(self, model: bytes) -> None:
-        spec = dict(_fields(next((v for k, v in _fields(model) if k == 3), b"")))
-        trainer = dict(_fields(next((v for k, v in _fields(model) if k == 2), b"")))
+        # A message that comes more than once is merged, which its bytes in a row mean.
+        spec = dict(_fields(b"".join(v for k, v in _fields(model) if k == 3)))
+        trainer = dict(_fields(b"".join(v for k, v in _fields(model) if k == 2)))
         self.map = CharacterMap(spec.get(2, b""))
         self.dummy = bool(spec.get(3, 1))
         self.squeeze = bool(spec.get(4, 1))
@@ -173,37 +174,63 @@ class Codec:
         ids = range(self.library.get_piece_size())
         pieces = [self.library.id_to_piece(i) for i in ids]
         self.lengths = np.array([1 if self.library.is_byte(i) else len(p.encode()) for i, p in zip(ids, pieces, strict=True)])
+        #: Source bytes of a piece whose marks are single spaces there.
+        self.sizes = self.lengths - 2 * np.array([0 if self.library.is_byte(i) else p.count(MARK) for i, p in zip(ids, pieces, strict=True)])
         self.unknown = self.library.unk_id()
         inner = any(MARK in p.lstrip(MARK) for p in pieces)
         fallback = any(self.library.is_byte(i) for i in ids)
         self.by_word = self.normalizer.plain and self.normalizer.dummy and fallback and not inner
         self.remembered = remembered
-        self.table: dict[str, tuple[list[int], str]] = {}
+        self.table: dict[str, tuple[str, bytes, bytes, bytes]] = {}
+        # Decoding strips the space before a text's first piece; behind this piece it stays.
+        self.lead = self.library.piece_to_id(MARK + "a")
+        self.by_word = self.by_word and self.lead != self.unknown
 
     def _learn(self, words: list[str]) -> None:
-        """Remember the pieces of mark-led words. The library puts the first mark itself."""
-        for w, ids in zip(words, self.library.encode([w[1:].replace(MARK, " ") for w in words]), strict=True):
-            # A lone mark is empty text to the library.
-            ids = ids or [self.library.piece_to_id(MARK)]
-            self.table[w] = ids, ",".join(map(str, ids))
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """For each text its ids, and the same in decimal with commas."""
+        """Remember of mark-led words: ids in decimal, ids, decoded bytes, and source bytes of each piece.
+        The library puts the first mark itself."""
+        found = self.library.encode([w[1:].replace(MARK, " ") for w in words])
+        # A lone mark is empty text to the library.
+        found = [ids or [self.library.piece_to_id(MARK)] for ids in found]
+        shown = self.library.decode([[self.lead, *ids] for ids in found])
+        for w, ids, text in zip(words, found, shown, strict=True):
+            own = np.array(ids, np.int32)
+            self.table[w] = ",".join(map(str, ids)), own.tobytes(), text[1:].encode(), self.sizes[own].astype(np.int32).tobytes()
+
+    def encode(self, texts: list[str]) -> list[tuple[str, np.ndarray, bytes, np.ndarray]]:
+        """For each text its ids in decimal with commas, the ids, the decoded bytes, and the spans: start and
+        end byte in the source of each piece."""
         if not self.by_word:
-            return [(ids, ",".join(map(str, ids))) for ids in self.library.encode(texts)]
+            return [self._whole(t) for t in texts]
         # Each part is a run of marks with what follows up to the next one.
         parts = [re.findall(f"{MARK}+[^{MARK}]*", MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         if len(self.table) > self.remembered:
             self.table.clear()
         self._learn(list({p for own in parts for p in own if p not in self.table}))
         out = []
-        for own in parts:
-            found = [self.table[p] for p in own]
-            out.append((list(chain.from_iterable([f[0] for f in found])), ",".join([f[1] for f in found])))
+        for t, own in zip(texts, parts, strict=True):
+            if MARK in t or not own:
+                # Marks of the text itself have three bytes in the source, unlike spaces.
+                out.append(self._whole(t))
+                continue
+            shown, ids, plain, sizes = zip(*[self.table[p] for p in own], strict=True)
+            size = np.frombuffer(b"".join(sizes), np.int32).astype(np.int64)
+            size[0] -= 1
+            ends = np.cumsum(size)
+            first = own[0].strip(MARK)
+            # What decoding does to the first spaces is asked of the library itself.
+            begin = self.library.decode(np.frombuffer(ids[0], np.int32).tolist()).encode() if first else None
+            ids = np.frombuffer(b"".join(ids), np.int32)
+            decoded = self.library.decode(ids.tolist()).encode() if begin is None else b"".join((begin, *plain[1:]))
+            out.append((",".join(shown), ids, decoded, np.stack([ends - size, ends], axis=1)))
         return out
 
+    def _whole(self, text: str) -> tuple[str, np.ndarray, bytes, np.ndarray]:
+        ids = self.library.encode(text)
+        return ",".join(map(str, ids)), np.array(ids, np.int32), self.library.decode(ids).encode(), self.spans(text.encode(), ids)
+
     def spans(self, data: bytes, ids: list[int]) -> np.ndarray:
-        """Start and end byte in the source of each piece, of a text encoded as UTF-8."""
+        """Start and end byte in the source of each piece, of a text encoded as UTF-8, through the normaliser."""
         normal, source = self.normalizer(data)
         own = np.array(ids, np.int64)
         size = self.lengths[own] if len(own) else np.zeros(0, np.int64)
@@ -226,50 +253,51 @@ class Codec:
             at += int(size[i])
         return size
 
-    def decode(self, ids: list[int]) -> str:
-        return self.library.decode(ids)
-
 
 def encoded(docs: DataFrame, path: str, text: str = "text", with_ids: bool = True) -> DataFrame:
-    """All other columns of ``docs`` with ``n_tokens, n_covered, ids_sha256, decoded_sha256`` and, if
-    ``with_ids``, ``ids, starts, ends``: the pieces and the source bytes that each stands for.
+    """All other columns of ``docs`` with ``n_tokens, n_covered, ids_sha256, decoded_sha256, spans_sha256`` and,
+    if ``with_ids``, ``ids, starts, ends``: the pieces and the source bytes that each stands for.
 
-    ``n_covered`` is the number of source bytes under the pieces. A null text is empty: no ids, and
-    the digests of an empty text. ``path`` names a model file that the driver can read.
+    ``n_covered`` is the number of source bytes under the pieces, ``spans_sha256`` the digest of all
+    starts and then all ends as 64-bit little-endian numbers. A null text is empty: no ids, and the
+    digests of nothing. Columns of ``docs`` with a result's name give way to the result. ``path`` names a
+    model file that the driver can read.
     """
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    names = [c for c in docs.columns if c != text]
+    results = ["n_tokens", "n_covered", "ids_sha256", "decoded_sha256", "spans_sha256", *["ids", "starts", "ends"][: 3 * with_ids]]
+    names = [c for c in docs.columns if c != text and c not in results]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())][: 3 * with_ids]]
 
-    def coded(codec: Codec, column: pa.Array) -> Iterator[tuple[str, list[int], str]]:
+    def coded(codec: Codec, column: pa.Array) -> Iterator[tuple[str, np.ndarray, bytes, np.ndarray]]:
         waiting: list[str] = []
         size = 0
         for x in column:
             waiting.append(x.as_py())
             size += len(waiting[-1])
             if size >= TOGETHER:
-                yield from ((t, *c) for t, c in zip(waiting, codec.encode(waiting), strict=True))
+                yield from codec.encode(waiting)
                 waiting, size = [], 0
-        yield from ((t, *c) for t, c in zip(waiting, codec.encode(waiting), strict=True))
+        yield from codec.encode(waiting)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
-            cols: list[list] = [[] for _ in range(7)]
-            for t, ids, shown in coded(codec, batch.column(batch.num_columns - 1)):
-                spans = codec.spans(t.encode(), ids)
-                gaps = np.maximum(spans[:, 0], np.maximum.accumulate(np.r_[0, spans[:-1, 1]])) if len(ids) else None
-                covered = int(np.maximum(0, spans[:, 1] - gaps).sum()) if len(ids) else 0
-                made = [len(ids), covered, hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()]
-                for c, v in zip(cols, [*made, ids, spans[:, 0], spans[:, 1]] if with_ids else made, strict=False):
+            cols: list[list] = [[] for _ in kinds]
+            for shown, ids, decoded, spans in coded(codec, batch.column(batch.num_columns - 1)):
+                gone = np.maximum.accumulate(np.r_[0, spans[:-1, 1]]) if len(ids) else 0
+                covered = int(np.maximum(0, spans[:, 1] - np.maximum(spans[:, 0], gone)).sum())
+                places = np.ascontiguousarray(spans.T, np.int64)
+                made = [len(ids), covered, sha(shown.encode()), sha(decoded), sha(places)]
+                for c, v in zip(cols, [*made, ids, places[0], places[1]] if with_ids else made, strict=True):
                     c.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())][: 3 * with_ids]]
             rest = [batch.column(i) for i in range(batch.num_columns - 1)]
-            made = [pa.array(c, k) for c, k in zip(cols, kinds, strict=False)]
-            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*batch.schema.names[:-1], "n_tokens", "n_covered", "ids_sha256", "decoded_sha256", *["ids", "starts", "ends"][: 3 * with_ids]])
+            made = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*batch.schema.names[:-1], *results])
 
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.coalesce(F.col(text), F.lit("")).alias("text"))
     kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[:-1])
     extra = ", ids array<int>, starts array<long>, ends array<long>" if with_ids else ""
-    out = rows.mapInArrow(run, f"{kept}n_tokens long, n_covered long, ids_sha256 string, decoded_sha256 string{extra}")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *out.columns[len(names) :])
+    out = rows.mapInArrow(run, f"{kept}n_tokens long, n_covered long, ids_sha256 string, decoded_sha256 string, spans_sha256 string{extra}")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *results)
