@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import catalog, webpages
+from ..operators import catalog, pagetext, webpages
 from ..operators.catalog_index import CatalogIndex
 from ..operators.gates import non_empty
 from ..operators.ledger import Ledger
@@ -100,6 +100,22 @@ def _main_text_sql() -> str:
     return f"SELECT page_id, sha256(array_to_string(list_filter({lines}, lambda x: x<>''),chr(10))) AS digest FROM (SELECT page_id, {t} t FROM pages)"
 
 
+_PLANTED = """<nav>x<nav>y</nav>z</nav><p title="a>b</article>">1 < 2 &eacute;</p><footer><script>'</footer>'</script></footer>"""
+
+
+def _structure_sql() -> str:
+    """Lines of the page without what is planted, and the planted line in front."""
+    plain = _main_text_sql().replace("SELECT page_id, sha256(", "SELECT page_id, html, (", 1).replace("SELECT page_id, regexp", "SELECT page_id, html, regexp", 1)
+    return f"SELECT page_id, sha256(CASE WHEN contains(html,'<article>') THEN '1 < 2 é'||chr(10) ELSE '' END||digest) AS digest FROM ({plain})"
+
+
+@query("L6", _structure_sql())
+def main_texts_by_structure(spark, sf):
+    """Pages with nested, quoted and script-held tags planted in their articles."""
+    pages = table(spark, sf, "pages").select("page_id", F.replace("html", F.lit("<article>"), F.lit("<article>" + _PLANTED)).alias("html"))
+    return pagetext.structured_texts(pages).select("page_id", F.sha2("main_text", 256).alias("digest"))
+
+
 @query("L6", _main_text_sql())
 def main_texts(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.sha2(webpages.main_text("html"), 256).alias("digest"))
