@@ -176,26 +176,26 @@ class Codec:
         self.lengths = np.array([1 if self.library.is_byte(i) else len(p.encode()) for i, p in zip(ids, pieces, strict=True)])
         #: Source bytes of a piece whose marks are single spaces there.
         self.sizes = self.lengths - 2 * np.array([0 if self.library.is_byte(i) else p.count(MARK) for i, p in zip(ids, pieces, strict=True)])
+        self.names = [str(i) for i in ids]
         self.unknown = self.library.unk_id()
         inner = any(MARK in p.lstrip(MARK) for p in pieces)
         fallback = any(self.library.is_byte(i) for i in ids)
         self.by_word = self.normalizer.plain and self.normalizer.dummy and fallback and not inner
         self.remembered = remembered
-        self.table: dict[str, tuple[str, bytes, bytes, bytes]] = {}
-        # Decoding strips the space before a text's first piece; behind this piece it stays.
-        self.lead = self.library.piece_to_id(MARK + "a")
-        self.by_word = self.by_word and self.lead != self.unknown
+        self.table: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Remember of mark-led words: ids in decimal, ids, decoded bytes, and source bytes of each piece.
-        The library puts the first mark itself."""
-        found = self.library.encode([w[1:].replace(MARK, " ") for w in words])
+        """Remember the ids of mark-led words. The library puts the first mark itself."""
+        found = self.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
         # A lone mark is empty text to the library.
-        found = [ids or [self.library.piece_to_id(MARK)] for ids in found]
-        shown = self.library.decode([[self.lead, *ids] for ids in found])
-        for w, ids, text in zip(words, found, shown, strict=True):
-            own = np.array(ids, np.int32)
-            self.table[w] = ",".join(map(str, ids)), own.tobytes(), text[1:].encode(), self.sizes[own].astype(np.int32).tobytes()
+        lone = [self.library.piece_to_id(MARK)]
+        found = [ids or lone for ids in found]
+        every = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
+        table, at = self.table, 0
+        for w, ids in zip(words, found, strict=True):
+            end = at + 4 * len(ids)
+            table[w] = every[at:end]
+            at = end
 
     def encode(self, texts: list[str]) -> list[tuple[str, np.ndarray, bytes, np.ndarray]]:
         """For each text its ids in decimal with commas, the ids, the decoded bytes, and the spans: start and
@@ -207,22 +207,20 @@ class Codec:
         if len(self.table) > self.remembered:
             self.table.clear()
         self._learn(list({p for own in parts for p in own if p not in self.table}))
+        names, table = self.names, self.table
+        coded = [np.frombuffer(b"".join([table[p] for p in own]), np.int32) for own in parts]
+        listed = [ids.tolist() for ids in coded]
         out = []
-        for t, own in zip(texts, parts, strict=True):
+        for t, ids, own, decoded in zip(texts, coded, listed, self.library.decode(listed, num_threads=1), strict=True):
             if MARK in t or not own:
                 # Marks of the text itself have three bytes in the source, unlike spaces.
-                out.append(self._whole(t))
-                continue
-            shown, ids, plain, sizes = zip(*[self.table[p] for p in own], strict=True)
-            size = np.frombuffer(b"".join(sizes), np.int32).astype(np.int64)
-            size[0] -= 1
-            ends = np.cumsum(size)
-            first = own[0].strip(MARK)
-            # What decoding does to the first spaces is asked of the library itself.
-            begin = self.library.decode(np.frombuffer(ids[0], np.int32).tolist()).encode() if first else None
-            ids = np.frombuffer(b"".join(ids), np.int32)
-            decoded = self.library.decode(ids.tolist()).encode() if begin is None else b"".join((begin, *plain[1:]))
-            out.append((",".join(shown), ids, decoded, np.stack([ends - size, ends], axis=1)))
+                spans = self.spans(t.encode(), own)
+            else:
+                size = self.sizes[ids]
+                size[0] -= 1
+                ends = np.cumsum(size)
+                spans = np.stack([ends - size, ends], axis=1)
+            out.append((",".join([names[i] for i in own]), ids, decoded.encode(), spans))
         return out
 
     def _whole(self, text: str) -> tuple[str, np.ndarray, bytes, np.ndarray]:
