@@ -12,7 +12,7 @@ from ..functions.numeric import clean_number, ratio, relative_difference, to_num
 from ..functions.recode import band, calendar_factor, label_rank, premium_adjusted_rate, recode, strip_prefix_int
 from ..functions.text import normalize_code
 from ..operators import estimators as E
-from ..operators.gates import FAIL, PASS, SKIP, Gate, gate_rows
+from ..operators.gates import FAIL, PASS, SKIP, Gate, gate_rows, implicates_gate, merge_gates, one_to_one_gate, run_gates
 from ..operators.joins import attach_totals, cross_source_pair, measure_self_join, with_one_row
 from ..operators.ordering import median_unweighted, quantile_groups_midpoint, quantile_groups_right_edge
 from ..operators.replicate_groups import replicate_quantile_group_means
@@ -158,7 +158,10 @@ def balance_by_quantile(
         F.bround(F.sum("__n") / F.lit(float(implicates)), 0).cast("bigint").alias("unweighted_families"),
     )
     weights = replicates.select(F.col(replicate_key).alias(record), replicate_weights.alias("__weights"))
-    first = summary.filter(F.col(implicate) == 1).join(weights, record)
+    # A family without replicate weights would vanish from the variance, so it ends the job.
+    lost = F.raise_error(F.concat(F.lit("no replicate weights for record "), F.col(record).cast("string")))
+    first = summary.filter(F.col(implicate) == 1).join(weights, record, "left")
+    first = first.withColumn("__weights", F.coalesce("__weights", lost.cast(weights.schema["__weights"].dataType)))
     means = replicate_quantile_group_means(
         first, wealth, balance, family, F.col("__weights"), groups
     )
@@ -167,6 +170,14 @@ def balance_by_quantile(
     return with_ci(table.join(counts, "quantile_group", "left")).orderBy("quantile_group")
 
 
+def balance_gates(summary: DataFrame, replicates: DataFrame, *, family: str, record: str, implicate: str, replicate_key: str, implicates: int) -> DataFrame:
+    """Gate rows that a balance by wealth group rests on: each family has every implicate once, and the first
+    implicate's records meet the replicate weights one to one."""
+    first = summary.filter(F.col(implicate) == 1).select(record)
+    weights = replicates.select(F.col(replicate_key).alias(record))
+    return merge_gates(implicates_gate(summary, family, implicate, implicates), one_to_one_gate(first, weights, record))
+
+
 def spending_by_coverage(
     persons: DataFrame, group: str, spending: str, weight: str, labels: Mapping[str, str], digits: int = 2
 ) -> DataFrame:
@@ -223,6 +234,36 @@ def calendar_year_mean(
     )
 
 
+def calendar_year_gates(
+    table: DataFrame,
+    families: DataFrame,
+    year: str,
+    reference_year: int,
+    *,
+    mean: float,
+    standard_error: float,
+    tolerance: float,
+    population_thousands: float,
+    population_tolerance: float,
+    reporters: int,
+) -> DataFrame:
+    """Gate rows of a calendar-year mean against the published table: mean, error, population, number of
+    reporters, and interviews in the reference year and the next one, both and no others."""
+    years = (reference_year, reference_year + 1)
+    inside = F.count_distinct(F.when(F.col(year).isin(*years), F.col(year)))
+    strange = F.count_if(~F.col(year).isin(*years))
+    published = gate_rows(
+        table,
+        [
+            Gate("benchmark_mean", F.col("estimate"), "absolute", mean, tolerance),
+            Gate("benchmark_standard_error", F.col("standard_error"), "absolute", standard_error, tolerance),
+            Gate("benchmark_population", F.col("population_thousands"), "absolute", population_thousands, population_tolerance),
+            Gate("benchmark_reporters", F.col("reporters"), "equal", reporters),
+        ],
+    )
+    return merge_gates(published, run_gates(families, [Gate("reference_years", inside, "equal", 2), Gate("other_years", strange, "equal", 0)]))
+
+
 # --- macro tables --------------------------------------------------------------------------------
 
 
@@ -345,6 +386,21 @@ def price_by_owner(
     return named.filter(F.col("owner").isin(*classes, "all owners")).orderBy("price", "owner")
 
 
+def price_by_class(df: DataFrame, observed: Column, classes: Mapping[str, Column], revenue: str, sales: str) -> DataFrame:
+    """Cents per kilowatt-hour of each class and of all rows, in one pass.
+
+    A class is a condition over any columns, such as an owner or a balancing authority, so classes may
+    overlap. A class without sales has a null price, which comes last.
+    """
+    conditions = {**classes, "all owners": F.lit(True)}
+    prices = [
+        F.struct(F.lit(name).alias("owner"), E.ratio_of_totals(F.when(where, F.col(revenue)), F.when(where, F.col(sales)), 100.0).alias("price"))
+        for name, where in conditions.items()
+    ]
+    one = df.filter(observed).agg(F.array(*prices).alias("prices"))
+    return one.select(F.explode("prices").alias("p")).select("p.owner", "p.price").orderBy(F.col("price").asc_nulls_last(), "owner")
+
+
 def price_gates(prices: DataFrame, a: str, b: str, official: float, low: float, high: float) -> DataFrame:
     """Gate row for the overall price against the published one, with the a-to-b ratio noted."""
     of = lambda name: F.max(F.when(F.col("owner") == F.lit(name), F.col("price")))

@@ -82,17 +82,33 @@ def _renters(spark, sf):
     )
 
 
+def _m1_sql(count: int) -> str:
+    return (
+        "WITH "
+        + variance_sql(_M1_BASE, "sum(v*wt)/sum(wt)", _FACTOR, f"4.0/{count}", ", count(*) n, sum(wt) wn", count)
+        + """ SELECT split_part(f.g,'|',2) AS poverty_band, split_part(f.g,'|',1) AS "group", round(est,9) AS estimate, round(se,9) AS standard_error, round(greatest(0,est-1.96*se),9) AS ci_low, round(least(1,est+1.96*se),9) AS ci_high,
+    CAST(n AS BIGINT) AS unweighted_households, CAST(wn AS BIGINT) AS weighted_households, split_part(f.g,'|',1) IN ('Assisted','None') AS published FROM f JOIN s ON f.g=s.g"""
+    )
+
+
 @query(
     "M1 H4",
-    "WITH "
-    + variance_sql(_M1_BASE, "sum(v*wt)/sum(wt)", _FACTOR, f"4.0/{R}", ", count(*) n, sum(wt) wn")
-    + """ SELECT split_part(f.g,'|',2) AS poverty_band, split_part(f.g,'|',1) AS "group", round(est,9) AS estimate, round(se,9) AS standard_error, round(greatest(0,est-1.96*se),9) AS ci_low, round(least(1,est+1.96*se),9) AS ci_high,
-    CAST(n AS BIGINT) AS unweighted_households, CAST(wn AS BIGINT) AS weighted_households, split_part(f.g,'|',1) IN ('Assisted','None') AS published FROM f JOIN s ON f.g=s.g""",
+    _m1_sql(R),
 )
 def cost_burden(spark, sf):
+    return _cost_burden(spark, sf, R)
+
+
+@query("M1 U3", _m1_sql(160))
+def cost_burden_160(spark, sf):
+    """With as many replicates as the survey has."""
+    return _cost_burden(spark, sf, 160)
+
+
+def _cost_burden(spark, sf, count):
     out = recipes.cost_burden(
         _renters(spark, sf),
-        design("sdr"),
+        design("sdr", count=count),
         code="code",
         groups=GROUPS,
         income="income",
@@ -139,14 +155,25 @@ def _families(spark, sf):
     )
 
 
-@query(
-    "M2 E7",
-    f"""WITH b AS ({_M2_GROUPS}), rep AS (SELECT g, r, sum(sp*w)/sum(w) est FROM b, range(1,{R}+1) t(r) WHERE (k*(2*r+1)+r*r)%97<48 GROUP BY 1,2),
+def _m2_sql(count: int) -> str:
+    return f"""WITH b AS ({_M2_GROUPS}), rep AS (SELECT g, r, sum(sp*w)/sum(w) est FROM b, range(1,{count}+1) t(r) WHERE (k*(2*r+1)+r*r)%97<48 GROUP BY 1,2),
     m AS (SELECT g, stddev_pop(est) se FROM rep GROUP BY 1), f AS (SELECT g, sum(sp*w)/sum(w) est, sum(ic*w)/sum(w) mi, count(*) n FROM b GROUP BY 1)
-    SELECT 'Q'||f.g AS quantile_group, round(est,7) AS estimate, round(se,7) AS standard_error, round(est-1.96*se,7) AS ci_low, round(est+1.96*se,7) AS ci_high, round(mi,3) AS mean_income, n AS unweighted_n FROM f JOIN m ON f.g=m.g""",
-)
+    SELECT 'Q'||f.g AS quantile_group, round(est,7) AS estimate, round(se,7) AS standard_error, round(est-1.96*se,7) AS ci_low, round(est+1.96*se,7) AS ci_high, round(mi,3) AS mean_income, n AS unweighted_n FROM f JOIN m ON f.g=m.g"""
+
+
+@query("M2 E7", _m2_sql(R))
 def spending_by_quintile(spark, sf):
-    half = design("half_sample", "o_orderkey", "one", "w_full")
+    return _spending_by_quintile(spark, sf, R)
+
+
+@query("M2 U6", _m2_sql(44))
+def spending_by_quintile_44(spark, sf):
+    """With as many half samples as the survey has."""
+    return _spending_by_quintile(spark, sf, 44)
+
+
+def _spending_by_quintile(spark, sf, count):
+    half = design("half_sample", "o_orderkey", "one", "w_full", count)
     out = recipes.spending_by_quantile(
         _families(spark, sf),
         half,
@@ -179,7 +206,7 @@ _M3 = f"""WITH a AS (SELECT o_orderkey k, o_orderkey%5+1 i, o_totalprice v, (o_c
     SELECT CAST(pt.g AS INTEGER) AS quantile_group, round(est,6) AS estimate, round(sqrt(sv.v+1.2::DOUBLE*iv),6) AS standard_error, round(est-1.96*sqrt(sv.v+1.2::DOUBLE*iv),6) AS ci_low, round(est+1.96*sqrt(sv.v+1.2::DOUBLE*iv),6) AS ci_high, hh AS weighted_households, fam AS unweighted_families FROM pt JOIN sv ON pt.g=sv.g"""
 
 
-def _balance(spark, sf):
+def _balance(spark, sf, weights=None):
     orders = table(spark, sf, "orders")
     summary = orders.select(
         "o_orderkey",
@@ -199,7 +226,7 @@ def _balance(spark, sf):
         balance="balance",
         weight="w",
         replicate_key="o_orderkey",
-        replicate_weights=bootstrap_weights(),
+        replicate_weights=bootstrap_weights() if weights is None else weights,
         implicates=5,
     )
     columns = ["estimate", "standard_error", "ci_low", "ci_high"]
@@ -216,6 +243,36 @@ def balance_by_decile_ranged(spark, sf):
     return _balance(spark, sf)
 
 
+@query("M3 U7 U13", _M3.replace(f"range(1,{B}+1)", "range(1,1000)"))
+def balance_by_decile_999(spark, sf):
+    """With as many bootstrap replicates as the survey has."""
+    k = F.col("o_orderkey")
+    weights = F.transform(F.sequence(F.lit(1), F.lit(999)), lambda r: ((1 + (k * r) % 7) * ((k + r) % 3)).cast("double"))
+    return _balance(spark, sf, weights)
+
+
+def _gate_sql(rows: list[tuple[str, str, str]], source: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{gate}' AS gate, CASE WHEN {ok} THEN 'pass' ELSE 'fail' END AS status, round(CAST({seen} AS DOUBLE),6) AS observed FROM {source}" for gate, seen, ok in rows)
+
+
+@query(
+    "M3 J12 J14",
+    "WITH x AS (SELECT count(*) FILTER (o_orderkey%97=0) AS few, count(*) FILTER (o_orderkey%89=0) AS lost FROM orders) "
+    + _gate_sql(
+        [("implicate_rows_per_family", "few", "few=0"), ("implicate_sets", "few", "few=0"), ("implicate_lowest", "1", "true"), ("implicate_highest", "5", "true"),
+         ("join_keys_repeated", "0", "true"), ("join_keys_unmatched", "lost", "lost=0")],
+        "x",
+    ),
+)
+def balance_gates(spark, sf):
+    """Some families lack an implicate and others their replicate weights."""
+    orders = table(spark, sf, "orders")
+    summary = orders.select("o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("imp")).filter("NOT (imp = 5 AND o_orderkey % 97 = 0)")
+    summary = summary.withColumn("record", F.col("o_orderkey"))
+    lacking = orders.filter("o_orderkey % 89 <> 0")
+    return shown(recipes.balance_gates(summary, lacking, family="o_orderkey", record="record", implicate="imp", replicate_key="o_orderkey", implicates=5))
+
+
 @query(
     "M4 E15",
     """WITH b AS (SELECT c_mktsegment g, coalesce(CASE WHEN c_custkey%9<>0 THEN c_acctbal END,0) v, 1.0::DOUBLE+c_custkey%5 w FROM customer),
@@ -260,6 +317,11 @@ _M21_BASE = f"""SELECT 1 g, o_orderkey k, w, coalesce(c,0) c, {_CF} f FROM (SELE
     + """ SELECT round(est,2) AS estimate, round(se,2) AS standard_error, round(pop,6) AS population_thousands, CAST(rp AS BIGINT) AS reporters FROM f JOIN s ON f.g=s.g""",
 )
 def calendar_year_mean(spark, sf):
+    out = _calendar_year(spark, sf)[1]
+    return rounded(rounded(out, 2, "estimate", "standard_error"), 6, "population_thousands").drop("replicates")
+
+
+def _calendar_year(spark, sf):
     families = table(spark, sf, "orders").select(
         "o_orderkey",
         (F.lit(1.0) + F.col("o_orderkey") % 7).alias("w_full"),
@@ -279,7 +341,29 @@ def calendar_year_mean(spark, sf):
         selected=F.col("l_partkey") % 10 == 3,
         reference_year=1997,
     )
-    return rounded(rounded(out, 2, "estimate", "standard_error"), 6, "population_thousands").drop("replicates")
+    return families, out
+
+
+@query(
+    "M21 J15 J21",
+    "WITH "
+    + variance_sql(_M21_BASE, "sum(c*wt)/sum(f*wt/4)", "CASE WHEN (k*(2*r+1)+r*r)%97<48 THEN 1.5::DOUBLE ELSE 0.5::DOUBLE END", f"1.0/{R}", ", sum(f*wt/4)/1000 pop, count(CASE WHEN c>0 THEN 1 END) rp")
+    + """, y AS (SELECT count(DISTINCT CASE WHEN year(o_orderdate) IN (1997,1998) THEN year(o_orderdate) END) inside, count(*) FILTER (year(o_orderdate) NOT IN (1997,1998)) strange FROM orders),
+    x AS (SELECT round(est,2) est, round(se,2) se, round(pop,6) pop, rp, inside, strange FROM f JOIN s ON f.g=s.g, y) """
+    + _gate_sql(
+        [("benchmark_mean", "est", "abs(est-1000000)<=2000000"), ("benchmark_standard_error", "se", "abs(se-0.5)<=0.4"), ("benchmark_population", "pop", "abs(pop-1)<=10000"),
+         ("benchmark_reporters", "rp", "rp=12"), ("reference_years", "inside", "inside=2"), ("other_years", "strange", "strange=0")],
+        "x",
+    ),
+)
+def calendar_year_gates(spark, sf):
+    """The published figures are invented, so some gates fail; orders of other years fail the year's gate."""
+    families, out = _calendar_year(spark, sf)
+    out = rounded(rounded(out, 2, "estimate", "standard_error"), 6, "population_thousands")
+    gates = [recipes.calendar_year_gates(
+        out, families, "year", 1997, mean=1e6, standard_error=0.5, tolerance=t, population_thousands=1.0, population_tolerance=1e4, reporters=12
+    ).filter(F.col("gate").isin(*names)) for t, names in ((2e6, ["benchmark_mean"]), (0.4, ["benchmark_standard_error", "benchmark_population", "benchmark_reporters", "reference_years", "other_years"]))]
+    return shown(gates[0].unionByName(gates[1]))
 
 
 # --- macro recipes ---------------------------------------------------------------------------------------
@@ -448,6 +532,7 @@ def premium_ordering(spark, sf):
 def _sales(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_linestatus",
+        "l_suppkey",
         F.col("l_returnflag").alias("owner"),
         F.when(F.col("l_suppkey") % 13 != 0, cents("l_extendedprice")).alias("revenue"),
         F.when(F.col("l_partkey") % 17 != 0, F.col("l_quantity") * 1000).alias("sales"),
@@ -465,6 +550,20 @@ def price_by_owner(spark, sf):
     return rounded(recipes.price_by_owner(_sales(spark, sf), F.col("l_linestatus") == "O", "owner", ["A", "R"], "revenue", "sales"), 6, "price")
 
 
+_CLASS_SALES = _SALES.replace("(SELECT", "(SELECT l_suppkey,", 1)
+
+
+@query(
+    "M16 D6",
+    f"""SELECT x.n AS "owner", round(100*sum(rev)/sum(mwh),6) AS price FROM {_CLASS_SALES}, (VALUES ('A'),('R'),('authority'),('nobody'),('all owners')) x(n)
+    WHERE n='all owners' OR "owner"=n OR (n='authority' AND l_suppkey%5=0) GROUP BY 1 UNION ALL SELECT 'nobody', NULL""",
+)
+def price_by_class(spark, sf):
+    """Owners beside a class that another column gives, as a balancing authority does, and one without rows."""
+    classes = {"A": F.col("owner") == "A", "R": F.col("owner") == "R", "authority": F.col("l_suppkey") % 5 == 0, "nobody": F.col("l_suppkey") < 0}
+    return rounded(recipes.price_by_class(_sales(spark, sf), F.col("l_linestatus") == "O", classes, "revenue", "sales"), 6, "price")
+
+
 @query(
     "M16 D17 J17",
     f"""WITH p AS (SELECT 100*sum(rev)/sum(mwh) u, 100*sum(CASE WHEN "owner"='A' THEN rev END)/sum(CASE WHEN "owner"='A' THEN mwh END) a, 100*sum(CASE WHEN "owner"='R' THEN rev END)/sum(CASE WHEN "owner"='R' THEN mwh END) b FROM {_SALES})
