@@ -167,11 +167,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows
     return fit_trees(x, sample["y"].to_numpy(float))
 
 
-def scored(docs: DataFrame, model: Trees, keep_text: bool = False) -> DataFrame:
+def scored(docs: DataFrame, model: Trees, keep_text: bool = False, prefix: str = "") -> DataFrame:
     """The columns of ``docs(doc_id, text, ...)``, the text only if kept, with ``held_out, score,
-    predicted``. Only the statistics of the whole text enter a score; a null text counts as empty."""
+    predicted``, whose names begin with ``prefix``. A column of ``docs`` with one of these names gives way.
+    Only the statistics of the whole text enter a score; a null text counts as empty."""
     feature, threshold, leaf, start = model.feature, model.threshold, model.leaf, model.start
-    names = [c for c in docs.columns if keep_text or c != "text"]
+    results = [prefix + c for c in ("held_out", "score", "predicted")]
+    names = [c for c in docs.columns if (keep_text or c != "text") and c not in results]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = Trees(feature, threshold, leaf, start)
@@ -182,5 +184,7 @@ def scored(docs: DataFrame, model: Trees, keep_text: bool = False) -> DataFrame:
 
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], text_or_empty().alias("text"))
     schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[:-1]) + "score double"
-    out = rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "score")
-    return out.select(*names, held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = rows.mapInArrow(run, schema)
+    held, score = held_out(f"c{names.index('doc_id')}"), F.col("score")
+    made = [held.alias(results[0]), score.alias(results[1]), (score >= 0.5).cast("int").alias(results[2])]
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *made)

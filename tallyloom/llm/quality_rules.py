@@ -75,10 +75,18 @@ def text_measures(text: Column) -> Column:
     return F.struct(by_word.alias("w"), by_line.alias("l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).alias("n_symbols"), F.regexp_count(text, F.lit("[A-Z]")).alias("n_upper"))
 
 
+#: Names that ``measured`` and ``ruled`` give.
+RESULTS = (
+    "n_words", "word_chars", "n_repeat_words", "n_lines", "n_dup_lines", "n_symbols", "n_upper", "base_failed",
+    "symbol_ratio", "upper_ratio", "dup_line_ratio", "repeat_ratio", "mean_word", "kept",
+)
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` but the text, the counts as ``long``, ``base_failed`` and the rules'
-    values. A null text is empty."""
-    rest = [c for c in docs.columns if c != "text"]
+    values. A null text is empty. A column of ``docs`` with a result's name, or one that begins with two
+    underscores, gives way."""
+    rest = [c for c in docs.columns if c not in ("text", *RESULTS) and not c.startswith("__")]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_measures(text_or_empty()).alias("__m"))
     counts = {"n_words": "w", "word_chars": "w", "n_repeat_words": "w", "n_lines": "l", "n_dup_lines": "l", "n_symbols": None, "n_upper": None}
     rows = rows.select(*[F.col(f"`{c}`") for c in rest], *[F.col(f"__m.{p + '.' if p else ''}{c}").cast("long").alias(c) for c, p in counts.items()])
@@ -144,8 +152,8 @@ def ruled(docs: DataFrame, labels: DataFrame, stratum: str = "lang", label: str
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min(label) == 1).alias("__good")).filter("__good")
     rules = options.get("rules", RULES)
     cutoffs = safe_cutoffs(rows.join(known, "doc_id"), F.col("__good"), stratum, **options)
-    wide = cutoffs.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__{r}") for r in rules])
-    out = rows.join(wide, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
+    wide = cutoffs.groupBy(F.col("stratum").alias("__stratum")).agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__{r}") for r in rules])
+    out = rows.join(wide, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
     fails = F.lit(False)
     for r in rules:
         fails = fails | F.coalesce(F.col(r) > F.col(f"__{r}"), F.lit(False))
