@@ -21,7 +21,8 @@ from tallyloom.llm.substring_dedup import remove_repeats
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored(docs, model, keep_text=True).filter("predicted = 1").select(*docs.columns)
+    rows = scored(docs, model, keep_text=True, prefix="__quality_")
+    return rows.filter("__quality_predicted = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
