@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import materialize, range_count
+from .scratch import materialize_by, range_count
 
 RANGE = "__range"
 
@@ -23,26 +23,36 @@ def sort_keys(order: str, tie: Sequence[str]) -> list[Column]:
 
 
 def cut_ranges(df: DataFrame, order: str, tie: Sequence[str], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
-    """Range-partition on ``(by, order, tie)`` and store each row's range number."""
+    """Range-partition on ``(by, order, tie)`` and store each row's range number.
+
+    The rows are stored in buckets of that number, a bucket for each range, so what works range by range
+    reads its buckets and shuffles no rows.
+    """
     n = ranges or range_count(df)
     keys = [*[F.col(b).asc() for b in by], *sort_keys(order, tie)]
     cut = df.repartitionByRange(n, *keys).withColumn(RANGE, F.spark_partition_id())
-    return materialize(cut, "ranges")
+    return materialize_by(cut, RANGE, n, "ranges")
 
 
-def range_offsets(totals: DataFrame, by: Sequence[str], value: str, before: str, total: str) -> DataFrame:
-    """Per ``(by, range)``: the sum of earlier ranges and the sum of all.
+def spanning_groups(totals: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Per range, its groups that reach into other ranges as ``__spans``: their keys ``b0, b1, ...``, the
+    sum ``before`` of earlier ranges and the sum ``total`` of all.
 
-    ``totals`` has one row per group and range, so the windows see few rows.
+    ``totals`` has one row per group and range, so the windows see few rows. Ranges are contiguous in
+    ``by``: only the first and the last group of a range can reach beyond it, so a list has two entries at most.
     """
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *by,
+    spans = totals.select(
         RANGE,
-        F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias(before),
-        F.sum(value).over(group).alias(total),
+        F.count(F.lit(1)).over(group).alias("__ranges"),
+        F.struct(
+            *[F.col(b).alias(f"b{i}") for i, b in enumerate(by)],
+            F.sum(value).over(earlier).alias("before"),
+            F.sum(value).over(group).alias("total"),
+        ).alias("__span"),
     )
+    return spans.filter("__ranges > 1").groupBy(RANGE).agg(F.collect_list("__span").alias("__spans"))
 
 
 def running_total(
@@ -63,19 +73,21 @@ def running_total(
     by = list(by)
     cut = cut_ranges(df, order, tie, by, ranges)
     totals = cut.groupBy(*by, RANGE).agg(F.sum(value).alias("__sum"))
-    shift = range_offsets(totals, by, "__sum", "__before", "__total")
-    within = (
-        Window.partitionBy(*by, RANGE)
-        .orderBy(*sort_keys(order, tie))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    local = cut.withColumn("__local", F.sum(value).over(within))
-    same = F.col(f"l.{RANGE}") == F.col(f"s.{RANGE}")
-    for b in by:
-        same = same & F.col(f"l.{b}").eqNullSafe(F.col(f"s.{b}"))
-    joined = local.alias("l").join(shift.alias("s"), same, "left")
+    spans = spanning_groups(totals, by, "__sum")
+    part = Window.partitionBy(*by, RANGE)
+    within = part.orderBy(*sort_keys(order, tie)).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.withColumns({"__local": F.sum(value).over(within), "__all": F.sum(value).over(part)})
+
+    def same_group(span: Column) -> Column:
+        same = F.lit(True)
+        for i, b in enumerate(by):
+            same = same & span[f"b{i}"].eqNullSafe(F.col(b))
+        return same
+
+    # Joined on the range alone, so that the stored layout serves the join too.
+    joined = local.join(spans, RANGE, "left").withColumn("__span", F.get(F.filter("__spans", same_group), F.lit(0)))
     return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        (F.col("l.__local") + F.col("s.__before")).alias(out),
-        F.col("s.__total").alias(total),
+        *df.columns,
+        (F.col("__local") + F.coalesce(F.col("__span")["before"], F.lit(0))).alias(out),
+        F.coalesce(F.col("__span")["total"], F.col("__all")).alias(total),
     )

@@ -42,6 +42,23 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, column: str, buckets: int, label: str = "stage") -> DataFrame:
+    """Write a frame to the shared folder in buckets of ``column`` and read it back.
+
+    Grouping by ``column``, windows over it and joins on it then use the stored layout, and the rows are
+    not shuffled again. Stored columns have plain names, as a table catalog may not take all of them. Only
+    the resolved frame is kept: the table's name leaves the catalog at once, its files stay.
+    """
+    spark = df.sparkSession
+    plain = [c if c == column else f"c{i}" for i, c in enumerate(df.columns)]
+    name = f"tallyloom_{uuid.uuid4().hex}"
+    writer = df.toDF(*plain).write.format("parquet").bucketBy(buckets, column)
+    writer.option("path", new_scratch_path(spark, label)).saveAsTable(name)
+    stored = spark.table(name).toDF(*df.columns)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size estimate of a plan's output.
 
@@ -55,15 +72,21 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 MAX_RANGES = 32768
+#: Catalyst takes a source without statistics, such as rows given by a program, as about this large.
+UNKNOWN_BYTES = 1 << 62
 
 
 def range_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024) -> int:
     """How many ranges to cut a frame into so that one range fits a task.
 
-    Past ``MAX_RANGES`` ranges grow instead; a larger range sorts with spilling.
+    Past ``MAX_RANGES`` ranges grow instead; a larger range sorts with spilling. Rows of a source
+    without statistics are counted, in a job of its own.
     """
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(MAX_RANGES, -(-plan_bytes(df) // target_bytes)))
+    size = plan_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        size = df.count() * df._jdf.schema().defaultSize()
+    return max(floor, min(MAX_RANGES, -(-size // target_bytes)))
 
 
 def spread(df: DataFrame) -> DataFrame:

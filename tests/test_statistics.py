@@ -167,6 +167,73 @@ def test_replicate_groups_agree_across_plans(spark):
     assert bad.count() == 0 and a.count() == b.count() > 0
 
 
+def test_replicate_groups_with_many_replicates_and_slices(spark, monkeypatch):
+    """Against numpy over all rows at once: hundreds of replicates, missing weights, several slices a range."""
+    import numpy as np
+
+    from tallyloom.operators import replicate_groups
+
+    monkeypatch.setattr(replicate_groups, "SLICE_ROWS", 100)
+    width, k = 300, 7
+    df = spark.range(2500).select(
+        "id", ((F.col("id") * 37) % 50).cast("double").alias("v"), (F.col("id") % 11).cast("double").alias("b"),
+        F.array(*[F.when((F.col("id") + r) % 9 != 0, ((F.col("id") * r) % 4).cast("double")) for r in range(1, width + 1)]).alias("ws"),
+    )
+    df = df.union(spark.createDataFrame([(9999, 1.0, 1.0, None), (9998, None, 1.0, [1.0] * width)], "id long, v double, b double, ws array<double>"))
+    got = replicate_groups.replicate_quantile_group_means(df, "v", "b", "id", F.col("ws"), k, ranges=6)
+    got = {(r["replicate"], r["quantile_group"]): (r["mean"], r["weighted_n"], r["n"]) for r in got.collect()}
+    want = {}
+    ids = np.array(sorted(range(2500), key=lambda i: ((i * 37) % 50, i)))
+    for r in range(1, width + 1):
+        w = np.where((ids + r) % 9 != 0, (ids * r) % 4, 0).astype(float)
+        i, w = ids[w > 0], w[w > 0]
+        if len(w) == 0:
+            continue
+        group = np.minimum(k, np.floor((np.cumsum(w) - w / 2) / w.sum() * k) + 1).astype(int)
+        for g in np.unique(group):
+            here = group == g
+            want[r, int(g)] = (np.average(i[here] % 11, weights=w[here]), w[here].sum(), here.sum())
+    assert got.keys() == want.keys()
+    for key, (mean, weight, n) in want.items():
+        assert abs(got[key][0] - mean) < 1e-9 and got[key][1:] == (weight, n)
+    empty = replicate_groups.replicate_quantile_group_means(df.limit(0), "v", "b", "id", F.col("ws"), k)
+    assert empty.count() == 0
+
+
+def test_stored_ranges_are_not_shuffled_again(spark):
+    """The rows' only exchange is the cut: what follows reads buckets. Sums of ranges may move."""
+    run = ordering.cumulative_weight(skewed(spark), "w", "v", "k", ["g"], ranges=6)
+    assert run.count() == skewed(spark).count()
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    rows_moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(__range" in line and "__span" not in line]
+    assert "Bucketed: true" in plan
+    assert len(rows_moved) <= 1, plan
+    names = [t.name for t in spark.catalog.listTables()]
+    assert not any(n.startswith("tallyloom_") for n in names)
+
+
+def test_a_source_without_statistics_is_counted(spark):
+    from tallyloom.plans.scratch import range_count
+
+    df = spark.createDataFrame([(i, 1.0) for i in range(100)], "k int, v double")
+    assert range_count(df) == 8
+    assert range_count(df, target_bytes=24) == 50
+
+
+def test_ranged_totals_of_groups_inside_and_across_ranges(spark):
+    """Many groups in a range, one over all ranges, decimal and whole sums, names with blanks and dots."""
+    rows = [(f"g{i:04d}" if i % 3 else "hot", i % 2, i, i % 13) for i in range(3000)]
+    df = spark.createDataFrame(rows, "`a group` string, `x.y` int, k int, w int").withColumn("w", F.col("w").cast("decimal(12,2)"))
+    df = df.withColumnRenamed("x.y", "x y")
+    got = ordering.cumulative_weight(df, "w", "x y", "k", ["a group"], ranges=7)
+    whole = Window.partitionBy("a group")
+    upto = whole.orderBy("x y", "k").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({"cum_weight": F.sum("w").over(upto), "total_weight": F.sum("w").over(whole)})
+    same = [F.col("a group"), F.col("x y"), F.col("k"), F.col("cum_weight").cast("double"), F.col("total_weight").cast("double")]
+    assert got.count() == 3000 and got.select(*same).exceptAll(want.select(*same)).count() == 0
+    assert got.columns == want.columns
+
+
 def test_workers_do_not_need_the_package(tmp_path):
     """The worker function of the range form travels by value: run it where only the driver can
     import the package."""
