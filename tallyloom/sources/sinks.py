@@ -33,9 +33,10 @@ def result_table(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def write_result_csv(df: DataFrame, path: str, order: Sequence[str | Column], digits: int = 6, mode: str = "errorifexists") -> None:
-    """One CSV file in a stable order. For published result tables, which are small: the sort
-    runs distributed and only the write is a single task."""
-    result_table(df, digits).orderBy(*order).coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """CSV parts in a stable order: the parts in order of their names, one after another, are the
+    ordered table. Rows are sorted and written range by range in parallel, by the values of ``order``
+    and not by their text; a small table is one part where adaptive execution joins small ranges."""
+    result_table(df.orderBy(*order), digits).write.mode(mode).option("header", True).csv(path)
 
 
 def diagnostics(analysis: str, sections: Mapping[str, DataFrame]) -> DataFrame:
