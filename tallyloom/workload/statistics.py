@@ -152,8 +152,10 @@ _CUM_SQL = f"""SELECT o_orderstatus, CAST(sum(cw) AS BIGINT) AS cum_sum, CAST(ma
     sum(w) OVER (PARTITION BY o_orderstatus) tw FROM {_ORD}) GROUP BY 1"""
 
 
-def _cumulative(spark, sf):
-    run = ordering.cumulative_weight(weighted_orders(spark, sf), "w", "o_orderdate", "o_orderkey", ["o_orderstatus"])
+def _cumulative(spark, sf, ranges=None):
+    run = ordering.cumulative_weight(
+        weighted_orders(spark, sf), "w", "o_orderdate", "o_orderkey", ["o_orderstatus"], ranges
+    )
     return run.groupBy("o_orderstatus").agg(
         F.sum("cum_weight").cast("bigint").alias("cum_sum"),
         F.max("cum_weight").cast("bigint").alias("cum_max"),
@@ -169,7 +171,8 @@ def cumulative_weights(spark, sf):
 
 @query("F2", _CUM_SQL)
 def cumulative_weights_ranged(spark, sf):
-    return _cumulative(spark, sf)
+    """Cut into more ranges than there are groups."""
+    return _cumulative(spark, sf, 48)
 
 
 _QSQL = f"""WITH p AS (SELECT o_orderstatus, o_totalprice v, sum(w) w FROM {_ORD} GROUP BY 1,2),
@@ -270,7 +273,8 @@ def replicate_decile_means(spark, sf):
 
 @query("U13", _REP_GROUPS_SQL)
 def replicate_decile_means_ranged(spark, sf):
-    return _replicate_groups(spark, sf)
+    """Cut into more ranges than there are deciles."""
+    return _replicate_groups(spark, sf, 48)
 
 
 @query(
