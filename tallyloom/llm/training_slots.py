@@ -66,6 +66,12 @@ def slot_column(number: Column, n: int, key: int) -> Column:
     return slot(number)
 
 
+def id_width(path: str) -> int:
+    """Bytes of one stored id: 2, or 4 for a vocabulary with ids of 65,536 and more."""
+    with open(path, "rb") as f:
+        return 2 if max(ranks_of(f.read()).values()) < 1 << 16 else 4
+
+
 def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE) -> DataFrame:
     """``part, place, doc_id, piece, n_tokens, ids`` of the texts' tokens in sequences of ``length``.
 
@@ -74,6 +80,7 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
     encoded in parts that no token crosses. Special strings in a text are ordinary text. A text without tokens has no sequence. ``part`` and ``place``
     are the task and the row in it; the frame must be stored before they are used.
     """
+    size = id_width(path)
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -81,8 +88,7 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
         from pyspark import TaskContext
 
         ranks = ranks_of(shared.value)
-        kind = "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
-        size = np.dtype(kind).itemsize
+        kind = f"<u{size}"
         ids_of = rank_encoder(ranks, pattern)
         pack = zstandard.ZstdCompressor(level=1).compress
         part, place = TaskContext.get().partitionId(), 0
@@ -110,7 +116,8 @@ def sequences(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE)
 def shards(stored: DataFrame, key: int, length: int = SEQUENCE, width: int = 2, slots: int = SLOTS) -> DataFrame:
     """``shard, first_slot, n_slots, stride, width, payload, doc_ids, pieces, n_tokens`` of a stored
     ``sequences`` frame, range-partitioned and sorted by shard. Lists and payload are in slot order;
-    a short sequence is filled up with zeros and its length is in ``n_tokens``."""
+    a short sequence is filled up with zeros and its length is in ``n_tokens``. ``width`` is the
+    ``id_width`` that the sequences were stored with."""
     counts = stored.groupBy("part").agg(F.count("*").alias("n"))
     n = stored.count()
     stride = length * width
@@ -136,7 +143,7 @@ def shards(stored: DataFrame, key: int, length: int = SEQUENCE, width: int = 2,
 
 
 def training_shards(docs: DataFrame, path: str, pattern: str, key: int, length: int = SEQUENCE, slots: int = SLOTS) -> DataFrame:
-    return shards(stage(sequences(docs, path, pattern, length), "sequences"), key, length, slots=slots)
+    return shards(stage(sequences(docs, path, pattern, length), "sequences"), key, length, id_width(path), slots)
 
 
 def write_shards(frame: DataFrame, path: str) -> None:
