@@ -5,6 +5,7 @@ Layout under one root, every directory written by one load:
     data/load=<id>/survey=<s>/year=<y>/part-*      release rows
     ledger/artifacts/load=<id>/                    one row per stored artifact
     ledger/files/load=<id>/                        one row per stored file, with bytes and SHA-256
+    ledger/lanes/load=<id>/                        one row per stored file, with row count and row sums
     ledger/checks/load=<id>/                       one row per gate
     ledger/schemas/load=<id>/                      the columns of the stored rows
     ledger/releases/load=<id>/                     one row per release, written last
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,14 +49,66 @@ def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), "path", "bytes", "sha256")
 
 
-def row_code(columns: Sequence[str]) -> Column:
-    """A 48-bit number from the SHA-256 of a row's fields in name order.
+#: A row's SHA-256 in four numbers of 64 bits.
+LANES = tuple(f"lane{i}" for i in range(4))
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """The SHA-256 of a row's fields in name order.
 
     Names and values carry their lengths, so no content of one row reads as fields of another. Null fields are left out, so a column added by a later load does not change earlier rows.
     """
     value = {c: F.col(c).cast("string") for c in columns}
     fields = [F.concat(F.lit(f"{len(c)}:{c}="), F.length(value[c]).cast("string"), F.lit(":"), value[c]) for c in sorted(columns)]
-    return F.conv(F.substring(F.sha2(F.concat_ws("\x1f", *fields), 256), 1, 12), 16, 10).cast("bigint")
+    return F.sha2(F.concat_ws("\x1f", *fields), 256)
+
+
+def row_code(columns: Sequence[str]) -> Column:
+    """The first 48 bits of a row's hash as a number, of which fingerprints are sums."""
+    return _code(row_hash(columns))
+
+
+def _code(row: Column) -> Column:
+    return F.conv(F.substring(row, 1, 12), 16, 10).cast("bigint")
+
+
+def _modulo(total: Column) -> Column:
+    return F.pmod(total, F.lit(Decimal(1 << 64))).cast("decimal(20,0)")
+
+
+def row_lanes(df: DataFrame, by: Sequence[str | Column], columns: Sequence[str]) -> DataFrame:
+    """``n_rows``, sum of 48-bit codes and four 64-bit lanes per group: row hashes cut in four and each
+    quarter added up modulo 2**64.
+
+    The lanes hash the rows as a multiset of any order. Lanes of parts add up to the lanes of the
+    whole, so a release is checked from its files' lanes and a part from the whole less the rest.
+    """
+    hashed = df.select(*by, row_hash(columns).alias("__h"))
+    names = hashed.columns[:-1]
+    quarter = lambda i: F.conv(F.substring("__h", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")
+    return hashed.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(_code(F.col("__h")).cast("decimal(20,0)")).alias("codes"),
+        *[_modulo(F.sum(quarter(i))).alias(c) for i, c in enumerate(LANES)],
+    )
+
+
+def joined_lanes(lanes: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``row_lanes`` of unions of the groups that ``lanes`` has."""
+    return lanes.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.sum("codes").alias("codes"), *[_modulo(F.sum(c)).alias(c) for c in LANES])
+
+
+def lane_errors(recorded: DataFrame, found: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``error`` and ``by`` of groups whose rows are not the recorded ones, from the lanes of both."""
+    sums = lambda df, name: df.select(*by, F.col("n_rows").alias(f"__{name}_rows"), F.struct(*LANES).alias(f"__{name}"))
+    both = sums(recorded, "known").join(sums(found, "there"), list(by), "full_outer")
+    error = (
+        F.when(F.col("__known_rows").isNull(), "unrecorded rows")
+        .when(F.col("__there_rows").isNull(), "no rows left")
+        .when(F.col("__known_rows") != F.col("__there_rows"), "row count mismatch")
+        .when(F.col("__known") != F.col("__there"), "row mismatch")
+    )
+    return both.select(error.alias("error"), *by).filter(F.col("error").isNotNull())
 
 
 def table_fingerprint(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -64,11 +118,12 @@ def table_fingerprint(df: DataFrame, by: Sequence[str], columns: Sequence[str] |
     shuffle, so a release that holds a third of the rows costs no more than any other.
     """
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in by]
-    sums = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(row_code(columns).cast("decimal(20,0)")).alias("__codes"),
-    )
-    text = F.concat_ws(":", F.col("n_rows").cast("string"), F.col("__codes").cast("string"))
+    sums = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_code(columns).cast("decimal(20,0)")).alias("codes"))
+    return _fingerprint(sums, by)
+
+
+def _fingerprint(sums: DataFrame, by: Sequence[str]) -> DataFrame:
+    text = F.concat_ws(":", F.col("n_rows").cast("string"), F.col("codes").cast("string"))
     return sums.select(*by, "n_rows", F.sha2(text, 256).alias("sha256"))
 
 
@@ -241,6 +296,11 @@ class Ledger:
         """Every file that a load stored, by its path below the root."""
         return self._read("files", "survey string, year int, path string, bytes bigint, sha256 string, load string")
 
+    def lanes(self) -> DataFrame:
+        """Row count and ``row_lanes`` of every file that a load stored; a file's name is its own within its release."""
+        sums = ", ".join(f"{c} decimal(20,0)" for c in LANES)
+        return self._read("lanes", f"survey string, year int, file string, n_rows bigint, codes decimal(30,0), {sums}, load string")
+
     def current(self, keys: Sequence[str] = ("survey",)) -> DataFrame:
         return current_releases(self.releases(), keys)
 
@@ -287,7 +347,10 @@ class Ledger:
         checks.select(*keys, *GATE_COLUMNS).write.mode("overwrite").parquet(self._dir("checks", load))
         checks = self.spark.read.parquet(self._dir("checks", load))
 
-        prints = table_fingerprint(stored, keys).withColumn("role", F.lit(role))
+        # Rows are hashed once, by file; the fingerprints of releases come from the files' sums.
+        self._lane_rows(stored).write.mode("overwrite").parquet(self._dir("lanes", load))
+        lanes = self.lanes().filter(F.col("load") == F.lit(load))
+        prints = _fingerprint(joined_lanes(lanes, keys), keys).withColumn("role", F.lit(role))
         digests = release_digests(prints, keys)
         artifacts = prints.join(digests.select(*keys, "digest"), keys).select(
             *keys, "digest", "role", F.col("n_rows").alias("bytes"), "sha256"
@@ -317,6 +380,12 @@ class Ledger:
         self._drop_copies(load)
         return self.releases().filter(F.col("load") == F.lit(load))
 
+    def _lane_rows(self, stored: DataFrame, load: bool = False) -> DataFrame:
+        """``row_lanes`` per file of stored rows; no file's rows are read for another's sums."""
+        keys = ["survey", "year", *(["load"] if load else [])]
+        lanes = row_lanes(stored, [*keys, F.col("_metadata.file_name").alias("file")], [c for c in stored.columns if c not in keys])
+        return lanes.select(F.col("survey").cast("string").alias("survey"), F.col("year").cast("int").alias("year"), "file", "n_rows", "codes", *LANES, *keys[2:])
+
     def _file_rows(self, load: str) -> DataFrame:
         """``survey, year, path, bytes, sha256`` of the files that a load has now."""
         data_dir = self._dir("data", load)
@@ -365,9 +434,10 @@ class Ledger:
         data = self.spark.read.schema(schema).parquet(path)
         return data.filter((F.col("survey") == F.lit(survey)) & (F.col("year") == F.lit(row["year"])))
 
-    def _stored(self, loads: DataFrame) -> list[DataFrame]:
+    def _stored(self, loads: DataFrame, damaged: bool = False) -> list[DataFrame]:
         """Rows of the given loads, a frame for each set of columns and types that they were stored
-        with, so that a column may change its type from load to load. Lost folders are left out."""
+        with, so that a column may change its type from load to load. Lost folders are left out, and with
+        ``damaged`` also what cannot be read of a file."""
         known = {"survey": T.StringType(), "year": T.IntegerType()}
         kinds = self._read("schemas", "schema string, load string").join(loads.select("load").distinct(), "load", "left_semi")
         frames = []
@@ -378,7 +448,10 @@ class Ledger:
                 continue
             fields = T.StructType.fromJson(json.loads(kind["schema"])).fields
             schema = T.StructType([T.StructField(f.name, known.get(f.name, f.dataType)) for f in fields]).add("load", T.StringType())
-            frames.append(self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*folders))
+            reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
+            if damaged:
+                reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+            frames.append(reader.parquet(*folders))
         return frames
 
     def revalidate(self, gates: Sequence[Gate], load: str) -> DataFrame:
@@ -412,6 +485,58 @@ class Ledger:
         )
         return scrub(promoted, artifacts, actual, self.current().select("survey", "year", "release_id", "digest"))
 
+    def scrub_rows(self, survey: str | None = None, year: int | None = None, files: Sequence[str] | None = None) -> DataFrame:
+        """``error, survey, year, load, file`` of stored files whose rows differ from their recorded lanes.
+
+        Only the files of the wanted release, or of the given names, are read. A file that was written anew
+        with the same rows in any order is sound here, though ``scrub_files`` reports its bytes. What
+        cannot be read of a file counts as lost rows.
+        """
+        wanted = F.lit(True) if survey is None else F.col("survey") == F.lit(survey)
+        if year is not None:
+            wanted &= F.col("year") == F.lit(year)
+        keys = ["survey", "year", "load"]
+        promoted = self.releases().filter((F.col("status") == PROMOTED) & wanted).select(*keys)
+        known = self.lanes().join(promoted, keys, "left_semi")
+        if files is not None:
+            known = known.filter(F.col("file").isin(list(files)))
+        none = self.spark.createDataFrame([], known.select("survey", "year", "file", "n_rows", "codes", *LANES, "load").schema)
+        found = []
+        for frame in self._stored(promoted, damaged=True):
+            part = frame.filter(wanted)
+            if files is not None:
+                part = part.filter(F.col("_metadata.file_name").isin(list(files)))
+            found.append(self._lane_rows(part, load=True))
+        # Folders of a load also hold its releases that are not promoted.
+        there = reduce(DataFrame.unionByName, found, none).join(promoted, keys, "left_semi")
+        return lane_errors(known, there, [*keys, "file"])
+
+    def recover(self, survey: str, year: int, source: DataFrame) -> DataFrame:
+        """Rows of ``source`` that the damaged files of the current release held.
+
+        They are the rows that no sound file has. Their lanes must be the sum of the lost files' recorded
+        ones, so a source of another wording, or one that lacks a row, is an error and nothing is returned.
+        """
+        row = self.current(["survey", "year"]).filter((F.col("survey") == F.lit(survey)) & (F.col("year") == F.lit(year))).select("load").first()
+        if row is None:
+            raise LookupError(f"no promoted release of {survey} {year}")
+        of_load = F.col("load") == F.lit(row["load"])
+        damaged = self.scrub_rows(survey, year).filter(of_load).select("survey", "year", "load", "file")
+        here = (F.col("survey") == F.lit(survey)) & (F.col("year") == F.lit(year))
+        lost = self.lanes().filter(of_load).join(damaged, ["survey", "year", "load", "file"], "left_semi")
+        frames = self._stored(self.releases().filter(of_load), damaged=True)
+        columns = [c for c in source.columns if c not in ("survey", "year")]
+        rows = source.filter(here).select("survey", "year", *columns)
+        for frame in frames:
+            names = damaged.select(F.col("file").alias("__file"))
+            sound = frame.filter(here).withColumn("__file", F.col("_metadata.file_name")).join(names, "__file", "left_anti")
+            rows = rows.exceptAll(sound.select("survey", "year", *columns))
+        found = row_lanes(rows, ["survey", "year"], columns).select("n_rows", *LANES)
+        want = joined_lanes(lost, ["survey", "year"]).select("n_rows", *LANES)
+        # One row each.
+        if found.collect() != want.collect():
+            raise ValueError(f"the source does not hold what the damaged files of {survey} {year} lost")
+        return rows
 
     def scrub_files(self) -> DataFrame:
         """``error, survey, year, path`` of stored files that differ from the ledger in bytes or SHA-256, are lost or

@@ -180,6 +180,39 @@ def scrubbed_storage(spark, sf):
     return with_one_row(table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n_rows")), errors)
 
 
+def lanes_sql(fields: list[str], source: str, by: str) -> str:
+    """Row count and four 64-bit sums of row hashes per group, as text."""
+    text = "concat_ws(chr(31)," + ",".join(f"'{len(n)}:{n}='||length(CAST({e} AS VARCHAR))||':'||CAST({e} AS VARCHAR)" for n, e in (f.split(":", 1) for f in sorted(fields))) + ")"
+    lanes = ", ".join(f"CAST(sum(CAST(('0x'||substr(h,{1 + 16 * i},16)) AS UBIGINT)) % 18446744073709551616 AS VARCHAR) AS lane{i}" for i in range(4))
+    return f"SELECT {by}, count(*) AS n_rows, {lanes} FROM (SELECT {by}, sha256({text}) h FROM {source}) GROUP BY ALL"
+
+
+@query("K2 K5", lanes_sql(["doc_id:doc_id", "lang:lang", "n_chars:n_chars"], _DOCS, "survey, year"))
+def release_lanes(spark, sf):
+    """Sums of the stored files of each release; the rows are hashed once, when a load stores them."""
+    ledger = Ledger(spark, new_scratch_path(spark, "ledger"))
+    ledger.promote(releases(spark, sf), [G.non_empty()], "first", 1)
+    sums = L.joined_lanes(ledger.lanes(), KEYS)
+    return sums.select(*KEYS, "n_rows", *[F.col(c).cast("string").alias(c) for c in L.LANES])
+
+
+@query(
+    "K6",
+    f"""SELECT survey, year, CASE WHEN survey='src3' THEN 'row count mismatch' ELSE 'row mismatch' END AS error FROM {_DOCS} WHERE survey IN ('src2','src3') GROUP BY ALL
+    HAVING survey='src2' OR count_if(doc_id%3=0)>0""",
+)
+def scrubbed_rows(spark, sf):
+    """Recorded sums against rows of which one survey's were changed and another's thinned out."""
+    ledger = Ledger(spark, new_scratch_path(spark, "ledger"))
+    rows = releases(spark, sf)
+    ledger.promote(rows, [G.non_empty()], "first", 1)
+    changed = rows.filter("NOT (survey = 'src3' AND doc_id % 3 = 0)").withColumn(
+        "n_chars", F.when(F.col("survey") == "src2", F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    )
+    now = L.row_lanes(changed, KEYS, ["doc_id", "lang", "n_chars"])
+    return L.lane_errors(L.joined_lanes(ledger.lanes(), KEYS), now, KEYS).select(*KEYS, "error")
+
+
 @query(
     "K13 E12",
     f"""SELECT survey, year FROM {_DOCS} WHERE NOT (survey LIKE 'src1%' AND year=2020) AND NOT (survey='src2') GROUP BY ALL""",

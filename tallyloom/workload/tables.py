@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from ..functions.frames import rename_and_cast
 from ..operators import estimators as E
+from ..operators.gates import run_gates
 from ..plans.scratch import new_scratch_path
 from ..sources import delimited, sinks, statjson
+from ..sources.payloads import payload_gates, payload_rows, read_fields
 from .registry import cents, query, rounded, table
 
 
@@ -361,7 +363,7 @@ def series_points(spark, sf):
         F.col("v").cast("string").alias("value"),
         notes.alias("footnotes"),
     )
-    docs = _daily(spark, sf).groupBy("event_type").agg(F.collect_list(point).alias("data"))
+    docs = _daily(spark, sf).groupBy("event_type", F.trunc("day", "month")).agg(F.collect_list(point).alias("data"))
     series = F.array(F.struct(F.col("event_type").alias("seriesID"), "data"))
     payload = F.struct(F.lit("REQUEST_SUCCEEDED").alias("status"), F.struct(series.alias("series")).alias("Results"))
     return statjson.flatten_series_points(docs.select(F.to_json(payload).alias("payload")), "payload")
@@ -379,13 +381,55 @@ def vintage_observations(spark, sf):
         F.date_format("day", "yyyy-MM-dd").alias("date"),
         F.col("v").cast("string").alias("value"),
     )
-    docs = _daily(spark, sf).groupBy("event_type").agg(
+    docs = _daily(spark, sf).groupBy("event_type", F.trunc("day", "month")).agg(
         F.to_json(F.struct(F.collect_list(observation).alias("observations"))).alias("payload")
     )
     rows = statjson.flatten_vintage_observations(docs, "payload", ["event_type"])
     return statjson.as_of_vintage(rows, "2024-01-31").select("event_type", "date", "value")
 
 
+_PACKED = "(SELECT event_id//100 AS doc, event_id, event_id//100%23 AS d, event_type, round(value*100) AS v FROM events)"
+_STATUS = "CASE WHEN d=7 THEN 'broken' WHEN d=9 THEN 'absent' WHEN d=11 THEN 'unexpected' ELSE 'parsed' END"
+
+
+def _packed(spark, sf):
+    """A hundred events a payload; some payloads are cut off, absent or hold an error in place of the list."""
+    i = F.col("event_id")
+    value = F.when(i % 13 == 0, F.lit("n/a")).otherwise(cents("value").cast("bigint").cast("string"))
+    record = F.struct(i.alias("id"), F.when(i % 11 == 0, F.lit("zz")).otherwise(F.col("event_type")).alias("type"), value.alias("value"))
+    docs = table(spark, sf, "events").groupBy(F.floor(i / 100).alias("doc")).agg(F.to_json(F.struct(F.collect_list(record).alias("value"))).alias("t"))
+    d = F.col("doc") % 23
+    text = F.when(d == 7, F.expr("left(t, length(t) - 2)")).when(d == 11, F.lit('{"value":"no data"}')).when(d != 9, F.col("t"))
+    rows = payload_rows(docs.select("doc", text.alias("payload")), "payload", "$.value", ["doc"])
+    known = ["click", "error", "purchase", "signup", "view"]
+    return read_fields(rows, {"id": "bigint", "type": "string", "value": "double"}, {"type": known})
+
+
+@query(
+    "A10 A11 J30",
+    f"""SELECT DISTINCT doc, 'document' AS "row", {_STATUS} AS status, CAST(NULL AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS DOUBLE) AS value, '' AS faults FROM {_PACKED}
+    UNION ALL SELECT doc, 'element', 'parsed', event_id, CASE WHEN event_id%11=0 THEN 'zz' ELSE event_type END, CASE WHEN event_id%13<>0 THEN v END,
+    concat_ws(', ', CASE WHEN event_id%13=0 THEN 'value: unreadable' END, CASE WHEN event_id%11=0 THEN 'type: unknown code' END) FROM {_PACKED} WHERE {_STATUS}='parsed'""",
+)
+def payload_elements(spark, sf):
+    """Elements of the sound payloads, and what became of each payload, from one pass."""
+    rows = _packed(spark, sf)
+    return rows.select("doc", "row", "status", "id", "type", "value", F.array_join("faults", ", ").alias("faults"))
+
+
+@query(
+    "J30 E17",
+    f"""WITH p AS (SELECT *, {_STATUS} AS status FROM {_PACKED}), g AS (
+    SELECT 'payload_'||s AS gate, (SELECT count(DISTINCT doc) FROM p WHERE status=s) AS n FROM (VALUES ('absent'),('broken'),('unexpected'),('empty')) t(s)
+    UNION ALL SELECT 'values_read', (SELECT count(*) FROM p WHERE status='parsed' AND event_id%13=0)
+    UNION ALL SELECT 'known_codes_type', (SELECT count(*) FROM p WHERE status='parsed' AND event_id%11=0))
+    SELECT gate, CASE WHEN n=0 THEN 'pass' ELSE 'fail' END AS status, CAST(n AS DOUBLE) AS observed FROM g""",
+)
+def payload_contract(spark, sf):
+    """The gates of the same pass; an unknown code fails one and is never read as another."""
+    return run_gates(_packed(spark, sf), payload_gates(["type"])).select("gate", "status", "observed")
+
+
 @query(
     "A14",
     """SELECT n_name AS "NAME", c_mktsegment AS "SEG", CAST(count(*) AS VARCHAR) AS "POP" FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY ALL""",
