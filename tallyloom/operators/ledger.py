@@ -8,6 +8,7 @@ Layout under one root, every directory written by one load:
     ledger/lanes/load=<id>/                        one row per stored file, with row count and row sums
     ledger/checks/load=<id>/                       one row per gate
     ledger/schemas/load=<id>/                      the columns of the stored rows
+    ledger/places/<n>                              the n-th place in the order of loads is taken
     ledger/releases/load=<id>/                     one row per release, written last
 
 Readers find data only through ``ledger/releases``. Data lands first and the ledger row last, so
@@ -23,6 +24,7 @@ from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -332,8 +334,7 @@ class Ledger:
             self._drop_copies(load)
             return self._recorded(df, load, role)
         if seq is None:
-            newest = self.releases().agg(F.max("seq").alias("s")).first()["s"]
-            seq = 0 if newest is None else newest + 1
+            seq = self._claim_seq()
         data_dir = self._dir("data", load)
         # Rows of a release meet in few files; adaptive execution splits a release that is too
         # large for one task and packs small ones.
@@ -380,6 +381,27 @@ class Ledger:
         self._drop_copies(load)
         return self.releases().filter(F.col("load") == F.lit(load))
 
+    def _claim_seq(self) -> int:
+        """The next free place in the order of loads.
+
+        It is taken by creating a file that must not be there yet, so loads that run side by side do not share a
+        place where the store creates files exclusively, as HDFS does. A load that dies leaves its place empty.
+        """
+        newest = self.releases().agg(F.max("seq").alias("s")).first()["s"]
+        seq = 0 if newest is None else newest + 1
+        jvm = self.spark.sparkContext._jvm
+        folder = f"{self.root}/ledger/places"
+        store = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+        while True:
+            try:
+                store.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{seq}"), False).close()
+                return seq
+            except Py4JJavaError as error:
+                if "AlreadyExists" not in error.java_exception.getClass().getName():
+                    raise
+                seq += 1
+
     def _lane_rows(self, stored: DataFrame, load: bool = False) -> DataFrame:
         """``row_lanes`` per file of stored rows; no file's rows are read for another's sums."""
         keys = ["survey", "year", *(["load"] if load else [])]

@@ -114,3 +114,13 @@ def test_empty_load(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path))
     ledger.promote(rows(spark).limit(0), [G.row_minimum(2)], "none")
     assert ledger.lanes().isEmpty() and ledger.scrub_rows().isEmpty()
+
+
+def test_loads_side_by_side_take_different_places(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    ledger = Ledger(spark, str(tmp_path))
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(lambda _: ledger._claim_seq(), range(8))) == list(range(8))
+    ledger.promote(rows(spark), [G.row_minimum(2)], "given", seq=20)
+    assert ledger._claim_seq() == 21 and ledger._claim_seq() == 22
