@@ -385,18 +385,26 @@ class Ledger:
         """The next free place in the order of loads.
 
         It is taken by creating a file that must not be there yet, so loads that run side by side do not share a
-        place where the store creates files exclusively, as HDFS does. A load that dies leaves its place empty.
+        place. HDFS creates files exclusively; Hadoop's local store does not, so there the system call does.
+        A load that dies leaves its place empty.
         """
         newest = self.releases().agg(F.max("seq").alias("s")).first()["s"]
         seq = 0 if newest is None else newest + 1
-        jvm = self.spark.sparkContext._jvm
-        folder = f"{self.root}/ledger/places"
-        store = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        store.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        folder = path(f"{self.root}/ledger/places")
+        store = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(folder)
+        local = store.getUri().getScheme() == "file"
         while True:
+            place = path(folder, str(seq))
             try:
-                store.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{seq}"), False).close()
+                if local:
+                    open(place.toUri().getPath(), "x").close()
+                else:
+                    store.create(place, False).close()
                 return seq
+            except FileExistsError:
+                seq += 1
             except Py4JJavaError as error:
                 if "AlreadyExists" not in error.java_exception.getClass().getName():
                     raise
