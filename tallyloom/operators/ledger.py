@@ -272,6 +272,10 @@ class Ledger:
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
+    def _delete(self, path: str) -> None:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
     def _read(self, kind: str, schema: str) -> DataFrame:
         path = f"{self.root}/ledger/{kind}"
         if not self._exists(path):
@@ -333,7 +337,8 @@ class Ledger:
         if self._exists(self._dir("releases", load)):
             self._drop_copies(load)
             return self._recorded(df, load, role)
-        if seq is None:
+        claimed = seq is None
+        if claimed:
             seq = self._claim_seq()
         data_dir = self._dir("data", load)
         # Rows of a release meet in few files; adaptive execution splits a release that is too
@@ -379,7 +384,11 @@ class Ledger:
         )
         rows.write.mode("overwrite").parquet(self._dir("releases", load))
         self._drop_copies(load)
-        return self.releases().filter(F.col("load") == F.lit(load))
+        own = self.releases().filter(F.col("load") == F.lit(load))
+        if claimed and own.isEmpty():
+            # A load without releases gives its place back.
+            self._delete(f"{self.root}/ledger/places/{seq}")
+        return own
 
     def _claim_seq(self) -> int:
         """The next free place in the order of loads.
@@ -433,11 +442,9 @@ class Ledger:
         """Remove what a load stored of releases that were current already; their first copy stays."""
         again = self.releases().filter((F.col("load") == F.lit(load)) & (F.col("status") == UNCHANGED)).select("survey", "year")
         paths = self.files().filter(F.col("load") == F.lit(load)).join(again, ["survey", "year"], "left_semi")
-        jvm = self.spark.sparkContext._jvm
         # One folder per release of the load.
         for row in paths.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect():
-            target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{row['folder']}")
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            self._delete(f"{self.root}/{row['folder']}")
 
     def _recorded(self, df: DataFrame, load: str, role: str) -> DataFrame:
         """The ledger rows of a load that is there already, if its content is that of ``df``."""
