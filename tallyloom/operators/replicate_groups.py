@@ -3,7 +3,8 @@
 The order of rows is the same in every replicate; only the weights differ. So rows are cut into
 ranges once and stored in buckets of them. A first pass adds up one vector of replicate sums per range;
 the second adds up each range's part of every replicate in slices that carry the sums reached. Rows are
-shuffled once, by the cut, and never multiplied by the number of replicates.
+shuffled once, by the cut, and never multiplied by the number of replicates. Weights given by an expression
+are made from the stored rows in each pass, so what is shuffled and stored is as narrow as their inputs.
 """
 
 from __future__ import annotations
@@ -38,16 +39,17 @@ def replicate_quantile_group_means(
 ) -> DataFrame:
     """Weighted mean, weight and row count per replicate and weight-midpoint group of ``order``.
 
-    A row takes part in a replicate when its weight there is present and positive.
+    A row takes part in a replicate when its weight there is present and positive. ``weights`` are
+    columns, or an array by a deterministic expression; all columns of ``df`` are stored with the ranges.
     """
     array = weights if isinstance(weights, Column) else F.array(*[F.col(c).cast("double") for c in weights])
     rows = df.filter(has_value(order) & has_value(value)).select(
+        "*",
         F.col(order).cast("double").alias(ORDER),
         F.col(tie).alias(TIE),
         F.col(value).cast("double").alias(VALUE),
-        array.alias(WEIGHTS),
-    ).filter(F.col(WEIGHTS).isNotNull())
-    sums = _by_range(rows, k, ranges)
+    )
+    sums = _by_range(rows, array, k, ranges)
     return sums.select(
         REPLICATE,
         "quantile_group",
@@ -57,17 +59,18 @@ def replicate_quantile_group_means(
     )
 
 
-def _width(rows: DataFrame) -> tuple[int, int]:
-    """Number of rows and of replicates."""
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(WEIGHTS)).alias("replicates")).first()
-    return found["n"], found["replicates"] or 0
+def _width(rows: DataFrame, array: Column) -> tuple[int, int]:
+    """Number of rows and of replicates, which is the length of every array."""
+    size = rows.select(array.alias(WEIGHTS)).filter(F.col(WEIGHTS).isNotNull()).select(F.size(WEIGHTS)).first()
+    return rows.count(), size[0] if size else 0
 
 
-def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
-    number, width = _width(rows)
+def _by_range(rows: DataFrame, array: Column, k: int, ranges: int | None) -> DataFrame:
+    number, width = _width(rows, array)
     floor = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_ranges = ranges or max(floor, min(MAX_RANGES, -(-number * (width + 3) * 8 // RANGE_BYTES)))
     cut = cut_ranges(rows, ORDER, [TIE], ranges=n_ranges)
+    cut = cut.select(RANGE, ORDER, TIE, VALUE, array.alias(WEIGHTS))
 
     # Plain values only: the functions are sent to the workers, which need not have this package.
     range_, order, tie, value, weights, slice_rows = RANGE, ORDER, TIE, VALUE, WEIGHTS, SLICE_ROWS
@@ -81,6 +84,7 @@ def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
 
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())
             numbers = batch.column(0).to_numpy()
             for at in range(0, len(numbers), slice_rows):
                 here = numbers[at : at + slice_rows]
@@ -114,6 +118,7 @@ def _by_range(rows: DataFrame, k: int, ranges: int | None) -> DataFrame:
         """Slices of the range in order; the sums reached are carried from slice to slice."""
         names = ["replicate", "quantile_group", "sum_wv", "sum_w", "n"]
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
+        data = data.filter(data[weights].is_valid())
         if data.num_rows == 0 or shift.num_rows == 0:
             return pa.table([pa.array([], kind) for kind in kinds], names=names)
         place = shift["replicate"].to_numpy() - 1

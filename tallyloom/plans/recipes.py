@@ -157,14 +157,18 @@ def balance_by_quantile(
         F.sum("__w").alias("weighted_households"),
         F.bround(F.sum("__n") / F.lit(float(implicates)), 0).cast("bigint").alias("unweighted_families"),
     )
-    weights = replicates.select(F.col(replicate_key).alias(record), replicate_weights.alias("__weights"))
-    # A family without replicate weights would vanish from the variance, so it ends the job.
-    lost = F.raise_error(F.concat(F.lit("no replicate weights for record "), F.col(record).cast("string")))
-    first = summary.filter(F.col(implicate) == 1).join(weights, record, "left")
-    first = first.withColumn("__weights", F.coalesce("__weights", lost.cast(weights.schema["__weights"].dataType)))
-    means = replicate_quantile_group_means(
-        first, wealth, balance, family, F.col("__weights"), groups
+    # The join takes the replicate rows as they are stored; weights made by an expression are made after it,
+    # since Spark's estimate of a made array is far below its size and would have it broadcast.
+    first = summary.filter(F.col(implicate) == 1).select(
+        F.col(record).alias("__record"), F.col(wealth).alias("__wealth"), F.col(balance).alias("__balance"), F.col(family).alias("__family")
     )
+    known = replicates.withColumns({"__key": F.col(replicate_key), "__known": F.lit(True)})
+    first = first.join(known, F.col("__record") == F.col("__key"), "left")
+    # A family without replicate weights would vanish from the variance, so it ends the job.
+    lost = F.raise_error(F.concat(F.lit("no replicate weights for record "), F.col("__record").cast("string")))
+    kind = replicates.select(replicate_weights.alias("__weights")).schema["__weights"].dataType
+    weights = F.coalesce(F.when(F.col("__known"), replicate_weights), lost.cast(kind))
+    means = replicate_quantile_group_means(first, "__wealth", "__balance", "__family", weights, groups)
     sampling = means.groupBy("quantile_group").agg(F.var_samp("mean").alias("variance"))
     table = combine_imputations(per, sampling, "mean", implicates, ["quantile_group"])
     return with_ci(table.join(counts, "quantile_group", "left")).orderBy("quantile_group")

@@ -218,7 +218,7 @@ def _balance(spark, sf, weights=None):
     )
     out = recipes.balance_by_quantile(
         summary,
-        orders,
+        orders.select("o_orderkey"),
         family="o_orderkey",
         record="record",
         implicate="imp",

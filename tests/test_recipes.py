@@ -28,6 +28,19 @@ def test_families_without_replicate_weights_end_the_job(spark):
         _table(spark, range(1, 40)).collect()
 
 
+def test_replicate_weights_are_made_for_the_joined_records_only(spark):
+    """Arrays made for every stored replicate row would be shuffled or broadcast whole."""
+    keys = _replicates(spark, range(1, 60)).select("key")
+    weights = F.when(F.col("key") <= 400, F.array(*[F.lit(1.0 + j) + F.col("key") % (j + 2) for j in range(3)])).otherwise(
+        F.raise_error(F.lit("made for a record that no summary row has")).cast("array<double>")
+    )
+    out = recipes.balance_by_quantile(
+        _summary(spark), keys, family="family", record="record", implicate="imp", wealth="wealth", balance="balance", weight="w",
+        replicate_key="key", replicate_weights=weights, implicates=5, groups=4,
+    ).collect()
+    assert [r["quantile_group"] for r in out] == [1, 2, 3, 4] and all(r["standard_error"] > 0 for r in out)
+
+
 def test_gates_name_what_is_broken(spark):
     names = {"family": "family", "record": "record", "implicate": "imp", "replicate_key": "key", "implicates": 5}
     summary = _summary(spark)
