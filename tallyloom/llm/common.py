@@ -172,12 +172,55 @@ def joined_found(hashes: list[bytes], counts: list[bytes]) -> tuple[np.ndarray,
     return known[order], times[order]
 
 
+#: Edges that a task gathers before it reduces them to a forest.
+FOREST_EDGES = 1 << 20
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node that is not the smallest of its connected group, and that smallest node."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        if not (apart := low != high).any():
+            break
+        a, b = low[apart], high[apart]
+        np.minimum.at(root, b, a)
+        while (further := root[root] != root).any():
+            root[further] = root[root[further]]
+    inner = root != np.arange(len(nodes))
+    return nodes[inner], nodes[root[inner]]
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task as forests: each of its nodes goes to the smallest it reaches there."""
+    own, held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+
+    def reduced() -> tuple[np.ndarray, np.ndarray]:
+        return forest(np.concatenate([u for u, _ in own]), np.concatenate([v for _, v in own]))
+
+    for batch in batches:
+        own.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        held += len(batch)
+        if held >= FOREST_EDGES:
+            u, v = reduced()
+            if len(u) >= FOREST_EDGES // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                u, v = u[:0], v[:0]
+            own, held = [(u, v)], len(u)
+    if held:
+        u, v = reduced()
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
 def linked_groups(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected groups of an edge list: ``(node, group)`` with the smallest node as group.
 
-    Alternates the large-star and small-star steps until the edges stay the same; each round is
-    written to the shared folder. No group is gathered: a node meets only the minimum of its
-    neighbours, which Spark combines before it shuffles.
+    Each task first ties the nodes of its own edges to the smallest they reach. While that leaves a
+    node with two smaller ones, or one that is both tied and tied to, the large-star and small-star
+    steps bring edges of a node together; each step is written to the shared folder. No group is
+    gathered: a node meets only the minimum of its neighbours, which Spark combines before it shuffles.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -185,23 +228,21 @@ def linked_groups(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
         near = both.join(low, "u").filter(F.col("v") > F.col("u")) if large else both.join(low, "u")
         to_low = near.filter(F.col("v") != F.col("w")).select(F.col("v").alias("u"), F.col("w").alias("v"))
-        if large:
-            return to_low.distinct()
-        return to_low.union(low.select("u", F.col("w").alias("v"))).distinct()
-
-    def told(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
-    e = stage(e, "edges")
-    seen = told(e)
-    while True:
-        e = stage(star(e, large=True), "large-star")
-        e = stage(star(e, large=False), "small-star")
-        now = told(e)
-        if now == seen:
-            break
-        seen = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("group")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("group")).distinct()
-    )
+        return to_low if large else to_low.union(low.select("u", F.col("w").alias("v")))
+
+    def tied(e: DataFrame, label: str) -> DataFrame:
+        """Stored edges, read back as forests."""
+        return stage(e, label).mapInArrow(_forests, "u long, v long")
+
+    def done(e: DataFrame) -> bool:
+        ends = e.select(F.col("u").alias("x"), "v").union(e.select(F.col("v").alias("x"), F.lit(None).cast("long").alias("v")))
+        ends = ends.groupBy("x").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count_if(F.col("v").isNull()).alias("as_group"))
+        return ends.filter("low < high OR low IS NOT NULL AND as_group > 0").isEmpty()
+
+    e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).filter("u != v")
+    e = tied(e, "edges")
+    while not done(e):
+        e = tied(star(e, large=True), "large-star")
+        e = tied(star(e, large=False), "small-star")
+    e = e.select(F.col("u").alias("node"), F.col("v").alias("group")).union(e.select(F.col("v").alias("node"), F.col("v").alias("group")))
+    return e.distinct()

@@ -408,3 +408,42 @@ def test_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_linked_groups_take_few_rounds(spark, monkeypatch):
+    """A task ties its own edges first: one chain in one task needs no round, and any graph gets its smallest nodes."""
+    import random
+
+    from tallyloom.llm import common
+
+    labels = []
+    stage = common.stage
+    monkeypatch.setattr(common, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    chain = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long").coalesce(1)
+    assert {tuple(r) for r in common.linked_groups(chain).collect()} == {(k, 0) for k in range(301)}
+    assert labels == ["edges"]
+
+    dice = random.Random(5)
+    edges = [(dice.randrange(400), dice.randrange(400)) for _ in range(260)]
+    root = list(range(400))
+    for _ in range(400):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {(x, root[x]) for a, b in edges if a != b for x in (a, b)}
+    got = common.linked_groups(spark.createDataFrame(edges, "a long, b long").repartition(7))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_forests_of_more_edges_than_a_task_gathers(monkeypatch):
+    import pyarrow as pa
+
+    from tallyloom.llm import common
+
+    monkeypatch.setattr(common, "FOREST_EDGES", 4)
+    batches = [pa.RecordBatch.from_arrays([pa.array([k + 1, 100 + k]), pa.array([k, 100])], names=["u", "v"]) for k in range(9)]
+    out = [p for b in common._forests(iter(batches)) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    root = {}
+    for _ in range(20):
+        for u, v in out:
+            root[u] = root[v] = min(root.get(u, u), root.get(v, v))
+    assert all(root[k] == 0 for k in range(10)) and all(root[100 + k] == 100 for k in range(9))
