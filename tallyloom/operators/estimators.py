@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,25 @@ def weighted_mean(v: ColumnLike, w: ColumnLike, missing: str = KEEP) -> Column:
     return ratio(F.sum(v * w), den)
 
 
+@dataclass(frozen=True)
+class WeightedMean:
+    """``weighted_mean`` of one column as a function of the weight, which also states the weighted sums it is made of."""
+
+    v: ColumnLike
+    missing: str = KEEP
+
+    def __call__(self, w: ColumnLike) -> Column:
+        return weighted_mean(self.v, w, self.missing)
+
+    def terms(self) -> list[Column]:
+        """What is multiplied by the weight and summed."""
+        v, one = col(self.v), F.lit(1.0)
+        return [v, one if self.missing == KEEP else F.when(v.isNotNull(), one)]
+
+    def from_sums(self, total: Column, weight: Column) -> Column:
+        return ratio(total, weight)
+
+
 def weighted_mean_scaled(v: ColumnLike, w: ColumnLike, divisor: float, missing: str = KEEP) -> Column:
     """Weighted mean in another unit, such as minutes to hours."""
     return weighted_mean(v, w, missing) / F.lit(float(divisor))

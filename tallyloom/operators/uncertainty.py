@@ -6,15 +6,18 @@ scan and one partial aggregation give the estimate and all its replicates.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import ColumnLike, clamp, col, ratio, valid_weight
 from ..plans.scratch import spread
-from .estimators import weighted_mean
+from .estimators import WeightedMean, weighted_mean
 from .joins import with_one_row
 
 Z90, Z95 = 1.645, 1.96
@@ -135,6 +138,89 @@ def replicate_variance(
     )
 
 
+@dataclass(frozen=True)
+class VectorRule:
+    """The rule of a design for many rows and replicates at once.
+
+    ``make`` takes each of ``inputs``, columns of numbers, as a numpy array of one column, and the replicate
+    numbers as an array of one row, and returns the matrix of weights. A row that lacks an input has no replicate
+    weight. ``make`` is sent to the workers by value, so it must be an inner function that uses plain values only.
+    """
+
+    inputs: tuple[Column, ...]
+    make: Callable[..., np.ndarray]
+
+
+#: Weights worked on at once by a task, which stay in a core's cache, and rows given back at once.
+SLICE_CELLS, OUT_ROWS = 64 * 1024, 64 * 1024
+
+
+def vector_sums(
+    df: DataFrame, terms: Sequence[Column], full: Column, rule: VectorRule, count: int, by: Sequence[str]
+) -> DataFrame:
+    """``by``, ``replicate`` and the weighted sums ``__s0, __s1, ...`` of ``terms``, for the full sample and all replicates.
+
+    Each batch of rows gives one row per group and replicate, from a matrix product of values and weights; input
+    rows are neither multiplied nor shuffled. A sum without a present value and weight is null.
+    """
+    n_by, n_terms, width, cells, out_rows, make = len(by), len(terms), count + 1, SLICE_CELLS, OUT_ROWS, rule.make
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = np.arange(1, width, dtype=np.int64)[None, :]
+        step = max(1, cells // width)
+        at_once = max(1, out_rows // width)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            code = np.zeros(batch.num_rows, dtype=np.int64)
+            for i in range(n_by):
+                keys = batch.column(i).dictionary_encode(null_encoding="encode")
+                code = np.unique(code * len(keys.dictionary) + keys.indices.to_numpy(), return_inverse=True)[1]
+            order = np.argsort(code, kind="stable")
+            starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+            ends = np.append(starts[1:], len(order))
+            rest = [batch.column(i) for i in range(n_by, batch.num_columns)]
+            valid = [c.is_valid().to_numpy(zero_copy_only=False)[order] for c in rest]
+            plain = [c.fill_null(0).to_numpy(zero_copy_only=False)[order] for c in rest]
+            has_value, values = valid[:n_terms], plain[:n_terms]
+            whole, inputs = plain[n_terms], plain[n_terms + 1 :]
+            weighted = np.logical_and.reduce(valid[n_terms + 1 :])
+            for first in range(0, len(starts), at_once):
+                groups = range(first, min(first + at_once, len(starts)))
+                sums = np.zeros((n_terms, len(groups), width))
+                absent = np.ones((n_terms, len(groups), width), dtype=bool)
+                for g in groups:
+                    for low in range(starts[g], ends[g], step):
+                        here = slice(low, min(low + step, ends[g]))
+                        weights = make(*[a[here, None] for a in inputs], numbers)
+                        for t in range(n_terms):
+                            some, v = has_value[t][here], values[t][here]
+                            if some.any():
+                                sums[t, g - first, 0] += v[some] @ whole[here][some]
+                                absent[t, g - first, 0] = False
+                            both = some & weighted[here]
+                            if both.any():
+                                sums[t, g - first, 1:] += v @ weights if both.all() else v[both] @ weights[both]
+                                absent[t, g - first, 1:] = False
+                picked = pa.array(np.repeat(order[starts[groups.start : groups.stop]], width))
+                columns = [batch.column(i).take(picked) for i in range(n_by)]
+                columns.append(pa.array(np.tile(np.arange(width, dtype=np.int32), len(groups))))
+                columns += [pa.array(sums[t].ravel(), mask=absent[t].ravel()) for t in range(n_terms)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    narrow = spread(df).select(
+        *by,
+        *[x.cast("double").alias(f"__x{t}") for t, x in enumerate(terms)],
+        full.alias("__full"),
+        *[c.alias(f"__in{i}") for i, c in enumerate(rule.inputs)],
+    )
+    fields = [*narrow.schema.fields[:n_by], T.StructField(REPLICATE, T.IntegerType())]
+    fields += [T.StructField(f"__s{t}", T.DoubleType()) for t in range(n_terms)]
+    names = [f.name for f in fields]
+    partial = narrow.mapInArrow(add_up, T.StructType(fields))
+    return partial.groupBy(*by, REPLICATE).agg(*[F.sum(f"__s{t}").alias(f"__s{t}") for t in range(n_terms)])
+
+
 # Replicates per aggregation row. Eight keep the generated loop below the size that the JVM
 # compiles; measured at 160 replicates this is three times faster than one row per replicate.
 BLOCK = 8
@@ -143,7 +229,8 @@ BLOCK = 8
 @dataclass(frozen=True)
 class Replicates:
     """A replicate design: the full-sample weight, and the replicate weights either as stored
-    columns (names or an array column) or as a rule of the replicate number."""
+    columns (names or an array column) or as a rule of the replicate number. ``vector`` states the
+    same rule in numpy."""
 
     full: str
     method: str
@@ -151,6 +238,7 @@ class Replicates:
     rule: Callable[[Column], Column] | None = None
     count: int = 0
     rho: float = 0.5
+    vector: VectorRule | None = None
 
     def replicates(self) -> int:
         if self.rule is not None or isinstance(self.weights, Column):
@@ -164,6 +252,13 @@ class Replicates:
             return generated_replicates(df, self.count, self.rule, keep, self.full, half)
         return to_replicates(df, self.weights, keep, self.full, half)
 
+    def _in_matrices(self, df: DataFrame, estimator: Callable[[Column], Column], by: Sequence[str]) -> bool:
+        """Half samples drop single weights, and nested keys have no codes in a batch: these take rows."""
+        if self.vector is None or self.method == "half_sample" or not isinstance(estimator, WeightedMean):
+            return False
+        nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+        return not any(isinstance(f.dataType, nested) for f in df.select(*by).schema.fields)
+
     def table(
         self,
         df: DataFrame,
@@ -176,7 +271,8 @@ class Replicates:
         and every replicate, from one scan.
 
         ``estimator`` makes an aggregate from a weight column; rows outside a replicate reach it
-        with a null weight. A row is multiplied by the number of blocks, and partial aggregation
+        with a null weight. With a vector rule a weighted mean takes its sums from matrix products.
+        Otherwise a row is multiplied by the number of blocks, and partial aggregation
         brings that down to groups times blocks before anything is shuffled.
         """
         count = self.replicates()
@@ -184,6 +280,10 @@ class Replicates:
             raise ValueError("a design over an array or a rule needs its replicate count")
         names = list(dict.fromkeys([*by, *keep]))
         full = F.coalesce(F.col(self.full).cast("double"), F.lit(0.0))
+        if self._in_matrices(df, estimator, by) and not carry:
+            sums = vector_sums(df, estimator.terms(), full, self.vector, count, by)
+            value = estimator.from_sums(*[F.col(f"__s{t}") for t in range(len(estimator.terms()))])
+            return sums.select(*by, REPLICATE, value.cast("double").alias("value"))
         if self.rule is not None:
             rows = spread(df)
         elif isinstance(self.weights, Column):

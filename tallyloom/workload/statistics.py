@@ -9,19 +9,21 @@ from ..operators import estimators as E
 from ..operators import ordering, uncertainty
 from ..operators.replicate_groups import replicate_quantile_group_means
 from ..operators.uncertainty import REPLICATE, W, Replicates
-from .registry import cents, query, replicate_factor, replicate_factor_sql, rounded, table
+from .registry import cents, query, replicate_factor, replicate_factor_sql, replicate_weights, rounded, table
 
 R = 20
 
 
 def design(method: str, key: str = "l_orderkey", line: str = "l_linenumber", full: str = "l_quantity", count: int = R, **kw) -> Replicates:
+    vector = None
     if method == "half_sample":
         rule = lambda r: F.when(
             replicate_factor(F.col(key), F.col(line), r) > 1, F.col(full) * 2.0
         )
     else:
         rule = lambda r: F.col(full) * replicate_factor(F.col(key), F.col(line), r)
-    return Replicates(full=full, method=method, rule=rule, count=count, **kw)
+        vector = replicate_weights(F.col(full), F.col(key), F.col(line))
+    return Replicates(full=full, method=method, rule=rule, count=count, vector=vector, **kw)
 
 
 def high_discount(spark, sf):
@@ -43,7 +45,7 @@ def share_sql(by: str, weight: str, scale: str, center: str = "f.est", count: in
 
 def _share(spark, sf, method: str, **kw):
     table_ = design(method, **kw).estimate(
-        high_discount(spark, sf), lambda w: E.weighted_mean("hit", w), ["l_returnflag"], ["hit"]
+        high_discount(spark, sf), E.WeightedMean("hit"), ["l_returnflag"], ["hit"]
     )
     return rounded(table_, 9, "estimate", "standard_error")
 

@@ -254,3 +254,60 @@ print("rows", replicate_quantile_group_means(df, "v", "v", "id", F.col("ws"), 5)
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "rows 10" in done.stdout, done.stderr[-2000:]
+
+
+def odd_rows(spark):
+    """Rows for a rule of key and line: missing and negative keys, missing and NaN weights, missing values and groups."""
+    rows = [("a" if i % 3 else None, i % 2, i * 7919, i % 7 + 1, float(i % 5 + 1), float(i % 4)) for i in range(300)]
+    rows += [("a", 0, None, 1, 2.0, 1.0), ("a", 0, 5, None, 2.0, 3.0), ("a", 1, -12345, 3, 2.0, 1.0), ("a", 0, 10, -4, 1.0, 2.0)]
+    rows += [("a", 1, 10**15, 7, 3.0, 2.0), ("a", 0, 11, 2, None, 2.0), ("b", 0, 12, 3, None, 1.0), ("c", 1, 13, 1, 2.0, None)]
+    rows += [("d", 0, 14, 2, float("nan"), 1.0), ("e", 0, 15, 1, 0.0, 1.0), ("f", 1, -99999, -3, 4.0, None), ("f", 1, 8, 3, 2.0, 5.0)]
+    return spark.createDataFrame(rows, "g string, h int, l_orderkey long, l_linenumber int, l_quantity double, v double")
+
+
+@pytest.mark.parametrize("by", [["g", "h"], ["g"], []])
+@pytest.mark.parametrize("missing", [E.KEEP, E.DROP])
+def test_matrix_sums_equal_the_row_form(spark, monkeypatch, by, missing):
+    """Every replicate of every group, in slices of a few rows and several parts given back."""
+    import dataclasses
+
+    from tallyloom.workload.statistics import design
+
+    monkeypatch.setattr(uncertainty, "SLICE_CELLS", 90)
+    monkeypatch.setattr(uncertainty, "OUT_ROWS", 60)
+    df, full = odd_rows(spark), design("bootstrap", count=29)
+    assert full.vector is not None
+    keys = [*by, "replicate"]
+    got, want = [
+        {tuple(r[k] for k in keys): r["value"] for r in d.table(df, E.WeightedMean("v", missing), by, ["v"]).collect()}
+        for d in (full, dataclasses.replace(full, vector=None))
+    ]
+    assert got.keys() == want.keys()
+    for key, value in want.items():
+        assert got[key] == (value if value is None else pytest.approx(value, rel=1e-12, nan_ok=True)), key
+
+
+def test_matrix_sums_do_not_multiply_rows(spark, sf):
+    """999 replicates used to send every row 125 times through the aggregation."""
+    from tallyloom.workload import load_all
+
+    plan = load_all()["bootstrap_share_999"].run(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan, plan
+
+
+def test_workers_do_not_need_the_package_for_matrix_sums(tmp_path):
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from tallyloom.session import local_session
+from tallyloom.workload import load_all
+spark = local_session("alone", 2, **{{"spark.checkpoint.dir": {str(tmp_path / 'shared')!r}, "spark.driver.memory": "2g"}})
+print("rows", load_all()["sdr_share"].run(spark, "/root/testdata/sf0.001").count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 3" in done.stdout, done.stderr[-2000:]
