@@ -11,7 +11,9 @@ Documents go through in steps, each over all that the step before could not rule
    of them occur elsewhere for even its smallest similar partner;
 3. the same with all hashes of the rest, which also gives the frequencies;
 4. prefix tokens under the rarest-first order tie the rest into candidate groups, which hold every
-   similar pair. Each group is compared inside tasks, in blocks where it is large.
+   similar pair. A small group is compared inside one task. Of a large one, parts are compared, and
+   then pairs that share a prefix token, if sizes, the token's places and bit sketches allow them
+   and no link ties them yet (see ``candidate_pairs``).
 
 Only hashes and counts are shuffled, a hash once per block of documents, so a passage in a third of
 all documents makes no task larger.
@@ -19,6 +21,8 @@ all documents makes no task larger.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,6 +41,7 @@ from .common import (
     lookup,
     mixed,
     repeated_hashes,
+    shuffle_partitions,
     stage,
     text_or_empty,
     utf8,
@@ -51,6 +56,12 @@ STEP = np.uint64(0xD6E8FEB86659FD93)
 OTHER_ORDER = np.uint64(0xA0761D6478BD642F)
 #: Documents of a candidate group that are compared in one task.
 GROUP_DOCS = 512
+#: Bits of a set's sketch, documents of a prefix token that are paired at a time, rows of such lists in
+#: a task about, and pairs that are held at once.
+SKETCH_BITS = 512
+LIST_DOCS = 1024
+LIST_ROWS = 1 << 16
+PAIRS_AT_ONCE = 1 << 18
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -126,11 +137,14 @@ def extra(n: int, percent: int) -> int:
     return min(head_length(n, percent), need(n, percent))
 
 
-def links_within(sets: list[np.ndarray], percent: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Linked pairs that tie sets together, for sets given rarest token first.
+def overlap(n: int | np.ndarray, percent: int) -> int | np.ndarray:
+    """How many tokens similar sets share at least, from their sizes' sum."""
+    return -(-percent * n // (100 + percent))
+
 
-    ``left`` marks the sets of which each pair has one at least (default: all). Pairs that other
-    links tie already may be left out.
+def links_within(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Linked pairs that tie sets together, for sets given rarest token first. Pairs that other links
+    tie already may be left out.
     """
     n = len(sets)
     size = np.array([len(s) for s in sets])
@@ -155,8 +169,6 @@ def links_within(sets: list[np.ndarray], percent: int, left: np.ndarray | None =
         return out
 
     likely = np.triu(np.ones((n, n), bool), 1) & (100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size))
-    if left is not None:
-        likely &= left[:, None] | left[None, :]
     for rank in (None, tokens, tokens * OTHER_ORDER):
         if not likely.any():
             return []
@@ -185,6 +197,115 @@ def links_within(sets: list[np.ndarray], percent: int, left: np.ndarray | None =
     return found
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Bits that each token turns over. Two sketches differ in no more bits than their sets in tokens."""
+    places = (mixed(s * STEP) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
+    return np.packbits(np.bincount(places, minlength=SKETCH_BITS) & 1)
+
+
+FRONT = "token long, doc long, label long, n int, place int, bits binary"
+
+
+def front_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A ``FRONT`` row for each prefix token that occurs elsewhere, from ``doc, label, tokens, at``."""
+    for batch in batches:
+        names = batch.schema.names
+        doc, label, tokens, at = (batch.column(names.index(c)) for c in ("doc", "label", "tokens", "at"))
+        for lo in range(0, len(batch), 64):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in tokens[lo : lo + 64]]
+            firsts = at[lo : lo + 64].to_pylist()
+            fronts = [s[k : head_length(len(s), percent)] for s, k in zip(sets, firsts, strict=True)]
+            each = [len(x) for x in fronts]
+            rows = np.repeat(np.arange(len(sets)), each)
+            place = np.arange(len(rows)) - np.repeat(np.cumsum(each) - each - np.array(firsts), each)
+            cols = [
+                np.concatenate(fronts).view(np.int64),
+                doc[lo : lo + 64].take(pa.array(rows)),
+                label[lo : lo + 64].take(pa.array(rows)),
+                np.repeat([len(s) for s in sets], each).astype(np.int32),
+                place.astype(np.int32),
+                pa.array([sketch(s).tobytes() for s in sets], pa.binary()).take(pa.array(rows)),
+            ]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=["token", "doc", "label", "n", "place", "bits"])
+
+
+def pairs_of_lists(table: pa.Table, percent: int) -> np.ndarray:
+    """Distinct pairs of ``doc`` that may be similar, from ``FRONT`` rows of the cells ``(token, lo, hi)``
+    where ``own`` is the block of a row.
+
+    The smaller of two similar sets has their rarest common token among the first ones that leave room
+    for the overlap with a set of its own size, and no list names a token of the other beyond its prefix.
+    """
+    cols = {c: table[c].to_numpy() for c in ("token", "lo", "hi", "n", "doc", "label", "place", "own")}
+    order = np.lexsort([cols[c] for c in ("n", "hi", "lo", "token")])
+    token, lo, hi, n, doc, label, place, own = (cols[c][order] for c in ("token", "lo", "hi", "n", "doc", "label", "place", "own"))
+    n, place = n.astype(np.int64), place.astype(np.int64)
+    bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint64).reshape(len(n), -1)[order]
+    cell = np.cumsum(np.r_[False, (np.diff(token) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)])
+    most = int(n.max()) + 1
+    ends = np.searchsorted(cell * most + n, cell * most + np.minimum(100 * n // percent, most - 1), "right")
+    first = np.flatnonzero(place <= n - overlap(2 * n, percent))
+    found = []
+    todo = np.cumsum(ends[first] - first - 1)
+    at = 0
+    while at < len(first):
+        done = int(todo[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(todo, done + PAIRS_AT_ONCE, "right")))
+        some = first[at:to]
+        each = ends[some] - some - 1
+        x = np.repeat(some, each)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(each) - each, each)
+        at = to
+        least = overlap(n[x] + n[y], percent)
+        rest = np.minimum(n[x] - place[x], n[y] - place[y])
+        keep = (rest >= least) & (label[x] != label[y]) & ((lo[x] == hi[x]) | (own[x] != own[y]))
+        x, y, least = x[keep], y[keep], least[keep]
+        keep = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64) <= n[x] + n[y] - 2 * least
+        a, b = doc[x[keep]], doc[y[keep]]
+        found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def candidate_pairs(rows: DataFrame, percent: int, list_docs: int = LIST_DOCS) -> DataFrame:
+    """Pairs ``(a, b)`` of ``rows(doc, label, tokens, at)`` that may be similar and differ in ``label``.
+
+    Documents are listed by the tokens of their prefixes; a long list is cut into blocks, and each two
+    blocks meet in a cell of their own.
+    """
+    rows = stage(rows.select("doc", "label", "tokens", "at").mapInArrow(lambda batches: front_rows(batches, percent), FRONT), "front-rows")
+    lists = rows.groupBy("token").agg(F.count("*").alias("docs")).filter("docs > 1")
+    lists = lists.withColumn("blocks", F.ceil(F.col("docs") / list_docs).cast("int"))
+    total = lists.agg(F.sum(F.col("docs") * F.col("blocks")).alias("s")).first()["s"] or 0
+    buckets = max(shuffle_partitions(rows), -(-int(total) // LIST_ROWS))
+    rows = rows.join(lists.drop("docs"), "token").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("token", "lo", "hi"), F.lit(buckets))).drop("blocks", "other")
+
+    def paired(table: pa.Table) -> pa.Table:
+        found = pairs_of_lists(table, percent)
+        return pa.table([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["a", "b"])
+
+    return rows.groupBy("bucket").applyInArrow(paired, "a long, b long").distinct()
+
+
+def linked_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """The keys ``(a, b)`` of similar pairs of ``rows(doc, key, label, tokens, at)`` that differ in ``label``."""
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for s, t in zip(*(batch.column(batch.schema.names.index(c)) for c in ("s", "t")), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (s, t))
+                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= overlap(len(x) + len(y), percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = stage(candidate_pairs(rows, percent), "candidate-pairs")
+    ends = [rows.select(F.col("doc").alias(d), F.col("key").alias(k), F.col("tokens").alias(t)) for d, k, t in (("x", "a", "s"), ("y", "b", "t"))]
+    both = pairs.toDF("x", "y").join(ends[0], "x").join(ends[1], "y")
+    return both.select("a", "b", "s", "t").mapInArrow(similar, "a long, b long")
+
+
 def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_docs: int = GROUP_DOCS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -252,7 +373,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_doc
 
     def ordered(key: tuple, table: pa.Table, side: pa.Table) -> pa.Table:
         known, times = joined_found(side["hashes"].to_pylist(), side["counts"].to_pylist())
-        cols: list[list] = [[], [], []]
+        cols: list[list] = [[], [], [], []]
         for k, x in zip(table["key"].to_pylist(), table["tokens"].to_pylist(), strict=True):
             s = np.frombuffer(x, np.uint64)
             often = lookup(s, known, times)
@@ -260,12 +381,13 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_doc
                 order = np.lexsort((s, often))
                 s, often = s[order], often[order]
                 p = head_length(len(s), percent)
-                for c, v in zip(cols, (k, s.tobytes(), s[:p][often[:p] > 1].view(np.int64)), strict=True):
+                front = s[:p][often[:p] > 1].view(np.int64)
+                for c, v in zip(cols, (k, s.tobytes(), p - len(front), front), strict=True):
                     c.append(v)
-        return pa.table(cols, schema=pa.schema([("key", pa.int64()), ("tokens", pa.binary()), ("front", pa.list_(pa.int64()))]))
+        return pa.table(cols, schema=pa.schema([("key", pa.int64()), ("tokens", pa.binary()), ("at", pa.int32()), ("front", pa.list_(pa.int64()))]))
 
     often = repeated_hashes(left.groupBy("block").applyInArrow(all_hashes, HASHES))
-    near = stage(left.groupBy("block").cogroup(often.groupBy("block")).applyInArrow(ordered, "key long, tokens binary, front array<long>"), "near-sets")
+    near = stage(left.groupBy("block").cogroup(often.groupBy("block")).applyInArrow(ordered, "key long, tokens binary, at int, front array<long>"), "near-sets")
 
     fronts = near.select("key", F.explode("front").alias("token"))
     hubs = fronts.groupBy("token").agg(F.min("key").alias("hub"), F.max("key").alias("top")).filter("hub < top").drop("top")
@@ -277,29 +399,23 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_doc
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         keys = table["key"].to_pylist()
         own = [np.frombuffer(x, np.uint64) for x in table["tokens"].to_pylist()]
-        loose = np.array(table["loose"].to_pylist(), bool)
-        pairs = links_within(own, percent, None if loose.all() else loose) if len(own) > 1 else []
+        pairs = links_within(own, percent) if len(own) > 1 else []
         pairs = [(keys[i], keys[j]) for i, j in pairs]
         return pa.table([[a for a, _ in pairs], [b for _, b in pairs]], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     # Each part of a large group also gets the group's first document, which ties most of them.
     first_to_all = F.when(F.col("key") == F.col("group"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
-    round_one = members.select("group", F.explode(first_to_all).alias("p"), "key", "tokens", F.lit(True).alias("loose"))
+    round_one = members.select("group", F.explode(first_to_all).alias("p"), "key", "tokens")
     links = stage(round_one.groupBy("group", "p").applyInArrow(compare, "a long, b long"), "links")
-    split = members.filter("parts > 1")
+    split = members.filter("parts > 1").withColumn("doc", F.monotonically_increasing_id())
     if not split.isEmpty():
-        # What is not tied to the first document yet meets every part of its group.
-        label = linked_groups(links)
-        split = split.join(label.withColumnRenamed("group", "label"), split["key"] == label["node"], "left").drop("node")
-        split = stage(split.withColumn("loose", F.coalesce(F.col("label") != F.col("group"), F.col("key") != F.col("group"))), "split-groups")
-        many = split.filter("loose").groupBy("group").agg(F.ceil(F.count("*") / group_docs).cast("int").alias("loose_parts"))
-        split = split.join(many, "group")
-        lone = F.pmod(F.xxhash64("key", F.lit(1)), F.col("loose_parts")).cast("int")
-        rows = split.select("group", "key", "tokens", "part", "parts", "loose_parts", "loose", lone.alias("q"))
-        cross = rows.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("loose_parts") - 1))).select("group", "q", F.col("part").alias("p"), "key", "tokens", F.lit(False).alias("loose"))
-        cross = cross.union(rows.filter("loose").select("group", "q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "key", "tokens", F.lit(True).alias("loose")))
-        cross = cross.groupBy("group", "q", "p").applyInArrow(_once(compare), "a long, b long")
-        links = stage(links.union(cross), "all-links")
+        split = stage(split.select("doc", "key", "tokens", "at"), "split-groups")
+        # First one document of each set of linked ones, which ties most, then all that are not linked yet.
+        for heads_only in (True, False):
+            label = linked_groups(links).withColumnRenamed("group", "label")
+            rows = split.join(label, split["key"] == label["node"], "left").drop("node").withColumn("label", F.coalesce("label", "key"))
+            rows = stage(rows.filter("key = label") if heads_only else rows, "labelled-sets")
+            links = stage(links.union(linked_pairs(rows, percent)), "linked-pairs")
     label = linked_groups(links)
     return (
         ids.join(sets.select("h", "n").distinct(), "h")
@@ -311,17 +427,3 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, group_doc
         )
         .select("doc_id", "n_shingles", id_back("component").alias("component_id"))
     )
-
-
-def _once(compare):
-    """A document that comes both as loose and as part of the block counts once, as loose."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        best: dict[tuple, int] = {}
-        rows = zip(table["key"].to_pylist(), table["tokens"].to_pylist(), strict=True)
-        for i, (k, loose) in enumerate(zip(rows, table["loose"].to_pylist(), strict=True)):
-            if loose or k not in best:
-                best[k] = i
-        return compare(key, table.take(pa.array(list(best.values()), pa.int64())))
-
-    return run

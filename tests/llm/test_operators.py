@@ -83,6 +83,69 @@ def test_similar_groups_in_several_parts(spark):
     assert got == groups_by_force(rows, 3, 80)
 
 
+def prefix_sets(spark, sets, percent):
+    """Rows for ``candidate_pairs``: each set rarest token first, with the place of its first shared one."""
+    from tallyloom.llm.ngram_join import head_length
+
+    times = collections.Counter(t for s in sets for t in s)
+    rows = []
+    for i, s in enumerate(sets):
+        own = sorted(s, key=lambda t: (times[t] > 1 and times[t], t))
+        alone = sum(times[t] == 1 for t in own)
+        at = min(alone, head_length(len(own), percent))
+        rows.append((i, i, i, np.array(own, np.uint64).tobytes(), at))
+    return spark.createDataFrame(rows, "doc long, key long, label long, tokens binary, at int")
+
+
+@pytest.mark.parametrize(("percent", "list_docs"), [(90, 1024), (80, 5), (50, 3), (100, 5), (1, 1024)])
+def test_candidate_pairs_hold_each_similar_pair(spark, percent, list_docs):
+    from tallyloom.llm.ngram_join import candidate_pairs, linked_pairs
+
+    rng = np.random.default_rng(percent)
+    token = rng.integers(1, 1 << 63, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(24):
+        base = set(rng.choice(token, int(rng.integers(1, 90)), replace=False).tolist())
+        sets += [base, base]
+        for _ in range(4):
+            gone = set(rng.choice(sorted(base), int(rng.integers(0, len(base) // 8 + 1)), replace=False).tolist())
+            sets.append((base - gone or base) | set(rng.choice(token, int(rng.integers(0, 5))).tolist()))
+    rows = prefix_sets(spark, sets, percent)
+    n = range(len(sets))
+    similar = {(i, j) for i in n for j in n if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    found = [tuple(r) for r in candidate_pairs(rows, percent, list_docs).collect()]
+    assert similar and similar <= set(found) and len(found) == len(set(found))
+    assert {tuple(r) for r in linked_pairs(rows, percent).collect()} == similar
+
+
+def templated_sets(count):
+    """Sets of 85 tokens that all have and 15 that two or three have; none reaches 0.8."""
+    return [{10**6 + k for k in range(85)} | {15 * (i // 2 * 2 if k < 7 else i // 3 * 3 + 10**4) + k for k in range(15)} for i in range(count)]
+
+
+def test_templated_sets_are_not_all_paired(spark):
+    """Pairs to compare follow the number of pages, not its square, where all share one passage."""
+    from tallyloom.llm.ngram_join import candidate_pairs
+
+    for count in (300, 600):
+        assert candidate_pairs(prefix_sets(spark, templated_sets(count), 80), 80).count() <= 2 * count
+
+
+def test_similar_groups_of_templated_pages(spark):
+    """One large candidate group with a few near copies, exact copies and a null id in it."""
+    from tallyloom.llm.ngram_join import similar_groups
+
+    shared = " ".join(f"s{k}" for k in range(90))
+    rows = []
+    for i in range(120):
+        own = [f"v{i // 2 if k < 6 else i // 3 + 1000}x{k}" for k in range(14)]
+        rows.append((None if i == 23 else i, f"{shared} {' '.join(own)}"))
+        if i % 10 == 0:
+            rows.append((500 + i, f"{shared} {' '.join(own[:-1])}"))
+    got = collections.Counter(map(tuple, similar_groups(frame(spark, rows), 3, 90, group_docs=16).collect()))
+    assert got == groups_by_force(rows, 3, 90)
+
+
 def cuts_by_force(rows, width=50):
     big = 1 << 62
     rows = [(big if i is None else i, (t or "").encode()) for i, t in rows]
