@@ -289,15 +289,26 @@ def candidate_pairs(rows: DataFrame, percent: int, list_docs: int = LIST_DOCS) -
     return rows.groupBy("bucket").applyInArrow(paired, "a long, b long").distinct()
 
 
+def share_heads(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets share a prefix token under both orders by hash."""
+    for turn in (np.uint64(1), OTHER_ORDER):
+        heads = [s[np.argsort(s * turn)[: head_length(len(s), percent)]] for s in (x, y)]
+        if not len(np.intersect1d(*heads, assume_unique=True)):
+            return False
+    return True
+
+
 def linked_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """The keys ``(a, b)`` of similar pairs of ``rows(doc, key, label, tokens, at)`` that differ in ``label``."""
+    """The keys ``(a, b)`` of similar pairs of ``rows(doc, key, label, tokens, at)`` that differ in ``label``.
+    Candidates share a prefix token under the rarest-first order; the other two orders are asked here."""
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for s, t in zip(*(batch.column(batch.schema.names.index(c)) for c in ("s", "t")), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (s, t))
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= overlap(len(x) + len(y), percent))
+                enough = overlap(len(x) + len(y), percent)
+                keep.append(share_heads(x, y, percent) and len(np.intersect1d(x, y, assume_unique=True)) >= enough)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     pairs = stage(candidate_pairs(rows, percent), "candidate-pairs")
